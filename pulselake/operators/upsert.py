@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulselake.operators.dedup import keep_latest
 from pulselake.operators.incremental import anti_join, same_key
-from pulselake.session import scratch_path, shared_dir
+from pulselake.session import path_exists, scratch_path, shared_dir
 from pulselake.sinks.tables import write_partitioned
 from pulselake.sources.tables import read_table
 
@@ -50,12 +49,10 @@ def merge(
 
 
 def _staged_batch(spark: SparkSession, path: str) -> int | None:
-    try:
-        row = spark.read.schema("batch_id bigint").parquet(path).first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """Batch id of the last complete stage, if any."""
+    if not path_exists(spark, f"{path}/_SUCCESS"):
         return None
+    row = spark.read.schema("batch_id bigint").parquet(path).first()
     return row[0] if row else None
 
 

@@ -72,7 +72,7 @@ from pulselake.sinks.tables import (
 from pulselake.sources.archive import read_archive
 from pulselake.sources.derived import change_topic, published, raw_landing, telemetry
 from pulselake.sources.tables import read_snapshot, read_table, scan
-from pulselake.sources.topics import read_cdc, read_telemetry
+from pulselake.sources.topics import read_cdc, read_envelope, read_telemetry
 from pulselake.streaming import aggregates, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -313,7 +313,8 @@ def _published_topic(spark, sf):
   FROM (SELECT *, {MISSING_SQL} AS missing FROM telemetry) AS listed) AS judged WHERE error IS NOT NULL""",
 )
 def b5(spark, sf):
-    _, rejected = split_dead_letters(_published_topic(spark, sf), CFG, AS_OF)
+    path = topic_files(spark, _published_topic(spark, sf))
+    _, rejected = split_dead_letters(read_envelope(spark, path), CFG, AS_OF)
     return rejected.select("partition", "offset", "error", "failed_at")
 
 
@@ -1095,7 +1096,7 @@ def j1(spark, sf):
     )
 
 
-LONG_LIST = f"device_id, region, measure_name, measure_value, 'DOUBLE' AS value_type, epoch_ms({SERVED}) AS time"
+LONG_LIST = f"device_id, region, measure_name, measure_value, 'DOUBLE' AS value_type, (epoch_us({SERVED}) // 1000) AS time"
 
 
 @query("j2_telemetry_measures", f"SELECT {LONG_LIST} FROM long_telemetry WHERE {TODAY}")
@@ -1121,7 +1122,7 @@ def j4(spark, sf):
 @query(
     "j5_anomaly_measures",
     f"""SELECT anomaly_type, region, 'anomaly_count' AS measure_name, COUNT(*) AS measure_value, 'BIGINT' AS value_type,
-  epoch_ms({SERVED}) AS time {LAST_HOUR}""",
+  (epoch_us({SERVED}) // 1000) AS time {LAST_HOUR}""",
 )
 def j5(spark, sf):
     counts = measures.anomaly_counts(anomalies_of(spark, sf), SERVED_AT)
@@ -1130,7 +1131,7 @@ def j5(spark, sf):
 
 @query(
     "j6_snapshot_time",
-    f"SELECT epoch_ms({SERVED}) AS time, COUNT(*) AS measures FROM long_telemetry WHERE {TODAY} GROUP BY 1",
+    f"SELECT (epoch_us({SERVED}) // 1000) AS time, COUNT(*) AS measures FROM long_telemetry WHERE {TODAY} GROUP BY 1",
 )
 def j6(spark, sf):
     rows = measures.today_slice(summary_of(spark, sf), SERVED_AT)
@@ -1174,10 +1175,10 @@ def _count_history(spark, sf):
 
 
 def since(hours: int, time: str = "time") -> str:
-    return f"{time} > epoch_ms({SERVED} - INTERVAL '{hours}' HOUR)"
+    return f"{time} > (epoch_us({SERVED} - INTERVAL '{hours}' HOUR) // 1000)"
 
 
-HISTORY = "epoch_ms(last_updated_at)"
+HISTORY = "(epoch_us(last_updated_at) // 1000)"
 
 
 @query(
@@ -1269,7 +1270,7 @@ def k7(spark, sf):
 @query(
     "k8_last_value",
     """SELECT device_id, measure_name, ARG_MAX(measure_value, last_updated_at) AS last_value,
-  epoch_ms(MAX(last_updated_at)) AS last_time FROM long_telemetry GROUP BY device_id, measure_name""",
+  (epoch_us(MAX(last_updated_at)) // 1000) AS last_time FROM long_telemetry GROUP BY device_id, measure_name""",
 )
 def k8(spark, sf):
     return panels.last_value(_telemetry_history(spark, sf), ["device_id", "measure_name"])
@@ -1712,7 +1713,7 @@ def o9(spark, sf):
     records = change_topic(telemetry(spark, sf))
     path = scratch_path(spark, "topic")
     records.unionByName(records).write.parquet(path)
-    stream = jobs.read_envelope(spark, path, streaming=True, max_files=100)
+    stream = read_envelope(spark, path, streaming=True, max_files=100)
     once = aggregates.once_per_offset(stream, WHOLE_SPAN).select("topic", "partition", "offset")
     return _run_append(spark, once, "once")
 
@@ -1751,7 +1752,7 @@ FROM (SELECT {INGRESS_SQL} AS error FROM (SELECT *, {MISSING_SQL} AS missing FRO
 def o11_dead_letters(spark, sf):
     path = topic_files(spark, _published_topic(spark, sf))
     good, bad = scratch_path(spark, "valid"), scratch_path(spark, "dead-letter")
-    stream = jobs.read_envelope(spark, path, streaming=True)
+    stream = read_envelope(spark, path, streaming=True)
     drained(
         *jobs.start_dead_letters(
             stream, good, bad, scratch_path(spark, "checkpoint"), cfg=CFG, as_of=AS_OF

@@ -32,8 +32,12 @@ def to_dead_letter(
 
 
 def with_error(envelope: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Topic records with parsed ``payload`` and ``error`` (NULL when the record is valid)."""
-    parsed = envelope.withColumn("payload", F.try_parse_json("value"))
+    """Topic records with parsed ``payload`` and ``error`` (NULL when the record is valid).
+
+    The generator keeps a later filter on ``error`` above the parse step; pushed below it, the
+    filter would parse the JSON again for every field it names.
+    """
+    parsed = envelope.select("*", F.explode(F.array(F.try_parse_json("value"))).alias("payload"))
     fields = parsed.select("*", *extract("payload", DEVICE_FIELDS))
     malformed = F.when(
         F.col("value").isNotNull() & F.col("payload").isNull(), F.lit("Malformed JSON")

@@ -26,7 +26,7 @@ def read_archive(
 
     The condition uses the partition columns alone, so other hours are never listed or read.
     """
-    layout = StructType(schema.fields)
+    layout = StructType(list(schema.fields))
     for part in PARTS:
         layout = layout.add(part, IntegerType())
     df = spark.read.schema(layout).json(path)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from pulselake.session import path_exists
+
 
 def read_snapshot(
     spark: SparkSession,
@@ -42,12 +43,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     Columns are matched by name, so files written before a column was added give NULL for it
     and a column no longer declared is not read.
     """
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def scan(df: DataFrame, columns: list[str], *conditions: Column) -> DataFrame:
