@@ -13,6 +13,7 @@ from pulselake.functions.numeric import stable_mean
 from pulselake.functions.timeutil import time_bin
 from pulselake.operators.timeline import with_neighbour
 from pulselake.schemas import DEVICE_ALERTS
+from pulselake.session import stage
 
 When = datetime | str | None
 
@@ -67,7 +68,8 @@ def alert_episodes(
 
     An alert opens at the first reading of a device that meets a condition and is resolved by
     the device's next reading that does not. Readings that change no state are dropped before
-    opening and resolving readings are paired.
+    opening and resolving readings are paired; the remaining state changes are staged, as the
+    pairing reads them in several branches.
     """
     conditions = alert_conditions(cfg)
     flags = {f"_{name}": F.coalesce(test, F.lit(False)) for name, (_, test) in conditions.items()}
@@ -92,7 +94,7 @@ def alert_episodes(
         F.col("alert_type").isNotNull()
     )
     paired = with_neighbour(
-        transitions.withColumn("_time", F.col("event_timestamp")),
+        stage(transitions.withColumn("_time", F.col("event_timestamp")), "state-changes"),
         ["device_id", "alert_type"],
         "event_timestamp",
         ["_time"],

@@ -39,19 +39,26 @@ def seed_registry(spark: SparkSession, n: int = 100, as_of: datetime | str | Non
     return registry_rows(spark.range(1, n + 1), "id", as_of)
 
 
+ATTRIBUTES = ["region", "model", "firmware_version"]
+
+
 def observed_devices(telemetry: DataFrame) -> DataFrame:
-    """Newest attributes and last event time of each device in the telemetry.
+    """Newest attributes and last event time of each device; ties go to the higher offset.
 
-    Kept out of hash aggregation only by its text buffers; the partial step still sends one row
-    per device and task.
+    Readings are first reduced to one row per device and attribute combination with a
+    fixed-width order value, which keeps the large step in hash aggregation.
     """
-    newest = F.max_by(
-        F.struct("region", "model", "firmware_version"), F.struct("event_timestamp", "kafka_offset")
-    )
+    micros = F.unix_micros(F.col("event_timestamp").cast("timestamp")).cast("decimal(19,0)")
+    order = micros * F.lit(10**18).cast("decimal(19,0)") + F.col("kafka_offset")
     return (
         telemetry.where(F.col("device_id").isNotNull() & F.col("event_timestamp").isNotNull())
+        .groupBy("device_id", *ATTRIBUTES)
+        .agg(F.max(order).alias("_order"), F.max("event_timestamp").alias("_seen"))
         .groupBy("device_id")
-        .agg(newest.alias("_n"), F.max("event_timestamp").alias("last_seen_at"))
+        .agg(
+            F.max_by(F.struct(*ATTRIBUTES), "_order").alias("_n"),
+            F.max("_seen").alias("last_seen_at"),
+        )
         .select("device_id", "_n.*", "last_seen_at")
     )
 
@@ -70,7 +77,7 @@ def refresh_registry(registry: DataFrame, telemetry: DataFrame) -> DataFrame:
     def pick(name: str):
         return F.when(newer, F.coalesce(f"o.{name}", f"r.{name}")).otherwise(F.col(f"r.{name}"))
 
-    updated = ["region", "model", "firmware_version", "last_seen_at"]
+    updated = [*ATTRIBUTES, "last_seen_at"]
     return r.join(o, F.col("r.device_id") == F.col("o.device_id"), "left").select(
         *(pick(c).alias(c) if c in updated else F.col(f"r.{c}") for c in registry.columns)
     )

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pulselake.config import ago, today
 from pulselake.functions.numeric import rounded_mean
@@ -122,9 +123,20 @@ POSITION_COLUMNS = [
 
 
 def latest_readings(silver: DataFrame, columns: list[str]) -> DataFrame:
-    """Newest reading of each device; partial aggregation keeps one row per device and task."""
-    newest = F.max_by(F.struct(*columns), "event_timestamp").alias("_newest")
-    return silver.groupBy("device_id").agg(newest).select("device_id", "_newest.*")
+    """Newest reading of each device.
+
+    Text columns (such as the region) join the grouping of a first step, so its buffers are
+    fixed-width and the readings go through hash aggregation without a sort; the second step
+    picks the newest of a device's few label combinations.
+    """
+    labels = [f.name for f in silver.select(*columns).schema if isinstance(f.dataType, StringType)]
+    values = [c for c in columns if c not in labels]
+    per_label = silver.groupBy("device_id", *labels).agg(
+        F.max("event_timestamp").alias("_at"),
+        *(F.max_by(c, "event_timestamp").alias(c) for c in values),
+    )
+    newest = F.max_by(F.struct(*columns), "_at").alias("_newest")
+    return per_label.groupBy("device_id").agg(newest).select("device_id", "_newest.*")
 
 
 def latest_positions(

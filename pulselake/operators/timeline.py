@@ -24,13 +24,19 @@ def hot_days(
     return per_day.where(F.col("_rows") > cutoff).select(*keys, day_col)
 
 
-def with_bucket(
-    df: DataFrame, keys: list[str], order_col: str, hot: DataFrame | None = None
+def busy_days(
+    df: DataFrame, keys: list[str], order_col: str, cfg: Config = Config()
 ) -> DataFrame:
+    """``hot_days`` counted from the rows themselves: one narrow scan, partially aggregated."""
+    counts = df.groupBy(*keys, F.to_date(order_col).alias("_counted_day")).agg(
+        F.count("*").alias("_count")
+    )
+    return hot_days(counts, keys, "_counted_day", "_count", cfg)
+
+
+def with_bucket(df: DataFrame, keys: list[str], order_col: str, hot: DataFrame) -> DataFrame:
     """Adds the time bucket of each row: its hour, or its minute on the hot days of a key."""
     moment = F.col(order_col)
-    if hot is None:
-        return df.withColumn(BUCKET, F.date_trunc("hour", moment))
     day = next(c for c in hot.columns if c not in keys)
     marked = F.broadcast(hot.select(*keys, F.col(day).alias("_day"), F.lit(True).alias("_hot")))
     return (
@@ -102,14 +108,18 @@ def with_neighbour(
     forward: bool = False,
     prefix: str | None = None,
     hot: DataFrame | None = None,
+    cfg: Config = Config(),
 ) -> DataFrame:
     """LAG (or LEAD) of ``cols`` per key by ``order_col``.
 
     Same result as a window over the whole series for non-null keys and distinct, non-null
     order values, but a series is split into time buckets: each bucket takes the row before
-    its first row from the last row of the bucket before.
+    its first row from the last row of the bucket before. ``hot`` (from ``hot_days``) saves
+    counting the rows when a summary already holds the counts.
     """
     prefix = prefix or ("next_" if forward else "prev_")
+    if hot is None:
+        hot = busy_days(df, keys, order_col, cfg)
     bucketed = with_bucket(df, keys, order_col, hot)
     carry = bucket_edges(bucketed, keys, order_col, cols, forward)
     return attach_neighbours(bucketed, carry, keys, order_col, cols, prefix, forward).drop(BUCKET)

@@ -19,7 +19,7 @@ from pulselake.operators.incremental import high_watermark
 from pulselake.operators.silver import classify, quarantine_columns, silver_columns
 from pulselake.operators.summary import device_summary
 from pulselake.operators.upsert import upsert
-from pulselake.schemas import ANOMALIES, QUARANTINE, SILVER, SUMMARY
+from pulselake.schemas import ANOMALIES, QUARANTINE, RAW, SILVER, SUMMARY
 from pulselake.session import scratch_path
 from pulselake.sinks.tables import rebuild
 from pulselake.sources.tables import read_table
@@ -33,6 +33,10 @@ class Lake:
 
     root: str
 
+    @property
+    def raw(self) -> str:
+        return f"{self.root}/raw"
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver"
@@ -49,6 +53,9 @@ class Lake:
     def anomalies(self) -> str:
         return f"{self.root}/anomalies"
 
+    def read_raw(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.raw, RAW)
+
     def read_silver(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.silver, SILVER)
 

@@ -43,8 +43,9 @@ from pulselake.operators.incremental import (
 )
 from pulselake.operators.silver import classify, silver, silver_columns, split_valid
 from pulselake.operators.summary import GRAIN, device_summary
+from pulselake.operators.timeline import hot_days
 from pulselake.operators.upsert import merge, upsert
-from pulselake.plans.medallion import Lake, load_silver, rebuild_gold
+from pulselake.plans.medallion import Lake, load_silver, run
 from pulselake.plans.oracle import (
     AS_OF,
     LOADED_UNTIL,
@@ -86,23 +87,23 @@ _LAKES: dict[tuple[str, str], Lake] = {}
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query and, when SQL can state it, its reference statement."""
 
-    def register(run: Query) -> Query:
+    def register(body: Query) -> Query:
         def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(prepare(spark), sf_dir)
+            return body(prepare(spark), sf_dir)
 
         QUERIES[name] = prepared
         if sql is not None:
             ORACLES[name] = statement(sql)
-        return run
+        return body
 
     return register
 
 
 def build_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """Silver, quarantine and Gold tables from the derived telemetry, below the shared folder."""
+    """Every layer from raw landing to Gold, below the shared folder."""
     lake = Lake(scratch_path(spark, "lake"))
-    load_silver(keep_operations(telemetry(spark, sf_dir)), lake, CFG, AS_OF)
-    rebuild_gold(spark, lake, CFG, AS_OF)
+    raw_landing(telemetry(spark, sf_dir)).write.parquet(lake.raw)
+    run(lake.read_raw(spark), lake, CFG, AS_OF)
     return lake
 
 
@@ -320,7 +321,7 @@ def b5(spark, sf):
 
 @query("b6_bronze_view", f"SELECT {POSITION}, device_id, event_timestamp, temperature FROM bronze")
 def b6(spark, sf):
-    parse_bronze(raw_landing(telemetry(spark, sf))).createOrReplaceTempView("bronze_readings")
+    parse_bronze(_raw(spark, sf)).createOrReplaceTempView("bronze_readings")
     return spark.table("bronze_readings").select(
         *(c.strip() for c in POSITION.split(",")), "device_id", "event_timestamp", "temperature"
     )
@@ -437,7 +438,7 @@ def b13(spark, sf):
 
 
 def _raw(spark, sf):
-    return raw_landing(telemetry(spark, sf))
+    return lake_for(spark, sf).read_raw(spark)
 
 
 OFFSETS = "kafka_partition, kafka_offset"
@@ -825,7 +826,7 @@ def _summary_query(name: str, columns: list[str]) -> None:
     wanted = [*GRAIN, *columns]
 
     @query(name, f"SELECT {', '.join(wanted)} FROM summary")
-    def run(spark, sf):
+    def body(spark, sf):
         return device_summary(silver_of(spark, sf)).select(*wanted)
 
 
@@ -930,7 +931,7 @@ def _found(spark, sf):
 
 def _anomaly_query(name: str, kind: str) -> None:
     @query(name, f"{ANOMALY_SQL} WHERE anomaly_type = '{kind}'")
-    def run(spark, sf):
+    def body(spark, sf):
         return _anomaly_values(_found(spark, sf).where(F.col("anomaly_type") == kind))
 
 
@@ -1297,6 +1298,12 @@ def l2(spark, sf):
     return alerts.device_alerts(anomalies_of(spark, sf))
 
 
+def _episodes(spark, sf):
+    """Alert episodes, with the busy device-days taken from the summary."""
+    hot = hot_days(summary_of(spark, sf), ["device_id"], "event_date", "total_events", CFG)
+    return alerts.alert_episodes(silver_of(spark, sf), CFG, hot)
+
+
 EPISODES = """(SELECT device_id, alert_type, severity, event_timestamp AS triggered_at, resolved_at FROM (
   SELECT *, LEAD(event_timestamp) OVER (PARTITION BY device_id, alert_type ORDER BY event_timestamp) AS resolved_at FROM (
     SELECT *, LAG(active) OVER (PARTITION BY device_id, alert_type ORDER BY event_timestamp) AS was_active FROM (
@@ -1311,7 +1318,7 @@ EPISODES = """(SELECT device_id, alert_type, severity, event_timestamp AS trigge
     f"SELECT device_id, alert_type, severity, triggered_at, resolved_at, resolved_at IS NOT NULL AS is_resolved FROM {EPISODES} AS e",
 )
 def l3(spark, sf):
-    return alerts.alert_episodes(silver_of(spark, sf), CFG).select(
+    return _episodes(spark, sf).select(
         "device_id", "alert_type", "severity", "triggered_at", "resolved_at", "is_resolved"
     )
 
@@ -1321,7 +1328,7 @@ def l3(spark, sf):
     f"SELECT device_id, alert_type, triggered_at FROM {EPISODES} AS e WHERE resolved_at IS NULL",
 )
 def l3_unresolved(spark, sf):
-    open_alerts = alerts.unresolved(alerts.alert_episodes(silver_of(spark, sf), CFG))
+    open_alerts = alerts.unresolved(_episodes(spark, sf))
     return open_alerts.select("device_id", "alert_type", "triggered_at")
 
 
@@ -1331,7 +1338,7 @@ def l3_unresolved(spark, sf):
   ORDER BY triggered_at DESC, alert_type) AS pick FROM {EPISODES} AS e) AS ordered WHERE pick = 1""",
 )
 def l3_newest(spark, sf):
-    newest = alerts.newest_alert(alerts.alert_episodes(silver_of(spark, sf), CFG))
+    newest = alerts.newest_alert(_episodes(spark, sf))
     return newest.select("device_id", "alert_type", "triggered_at")
 
 
@@ -1342,7 +1349,7 @@ def l3_newest(spark, sf):
 )
 def l3_resolve(spark, sf):
     """Every alert still open is resolved at the pinned time."""
-    found = alerts.alert_episodes(silver_of(spark, sf), CFG)
+    found = _episodes(spark, sf)
     resolutions = alerts.unresolved(found).select("id", instant(AS_OF).alias("resolved_at"))
     resolved = alerts.resolve_alerts(found, resolutions)
     return resolved.select("id", "device_id", "resolved_at", "is_resolved")
@@ -1567,7 +1574,7 @@ def n11(spark, sf):
 
 def _raw_files(spark, sf, files: int = 3) -> str:
     path = scratch_path(spark, "raw")
-    raw_landing(telemetry(spark, sf)).repartition(files).write.parquet(path)
+    _raw(spark, sf).repartition(files).write.parquet(path)
     return path
 
 
@@ -1726,7 +1733,7 @@ def o10(spark, sf):
     """Two scheduled runs over one checkpoint; the second sees only what arrived in between."""
     raw = scratch_path(spark, "raw")
     target, checkpoint = scratch_path(spark, "bronze"), scratch_path(spark, "checkpoint")
-    everything = raw_landing(telemetry(spark, sf))
+    everything = _raw(spark, sf)
     until = instant(LOADED_UNTIL)
     for part in (F.col("ingested_at") <= until, F.col("ingested_at") > until):
         everything.where(part).write.mode("append").parquet(raw)

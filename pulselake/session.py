@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the operators rely on.
 REQUIRED = {
@@ -52,6 +52,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/pulselake/{label}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For a frame that feeds several branches of a plan: it is computed once, its lineage ends,
+    and the planner knows its size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, on whichever file system it names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from pulselake.operators.anomalies import anomalies
 from pulselake.operators.dedup import READING_KEY, change_order, keep_latest
 from pulselake.operators.summary import device_summary
-from pulselake.operators.serving import latest_positions
+from pulselake.operators.serving import latest_positions, latest_readings
 from pulselake.plans.queries import lake_for
 from tests.conftest import SF
 
@@ -47,6 +47,12 @@ def test_anomalies_shuffle_readings_once(spark, lake):
     assert sum("_bucket" in x for x in wide) == 2
 
 
+def test_latest_readings_hash_before_they_sort(spark, lake):
+    text = plan(latest_readings(lake.read_silver(spark), ["region", "temperature"]))
+    scan_side = text[text.rindex("Exchange") :]
+    assert "partial_max_by(temperature" in scan_side and "Sort" not in scan_side
+
+
 def test_positions_prune_dates_and_columns(spark, lake):
     text = plan(latest_positions(lake.read_silver(spark), "2024-01-20 12:00:00"))
     scan = text[text.index("FileScan parquet") :]
