@@ -18,11 +18,15 @@ def classify(
 ) -> DataFrame:
     """Latest version of each reading with its ``dq_status``.
 
-    Deduplication comes first: an invalid newest version hides an older valid one. Silver and
-    quarantine share this frame; persist it when both are written.
+    Deduplication looks at every version: an invalid newest version hides an older valid one.
+    The status belongs to one row, so it is set before the shuffle, and the payload, which only
+    quarantine needs, travels with rejected rows alone.
     """
-    latest = keep_latest(bronze, READING_KEY, change_order())
-    return latest.withColumn("dq_status", quality_status(cfg, as_of))
+    judged = bronze.withColumn("dq_status", quality_status(cfg, as_of))
+    if "raw_payload" in bronze.columns:
+        rejected = F.col("dq_status") != VALID
+        judged = judged.withColumn("raw_payload", F.when(rejected, F.col("raw_payload")))
+    return keep_latest(judged, READING_KEY, change_order())
 
 
 def split_valid(classified: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -21,30 +21,28 @@ def merge(
 ) -> DataFrame:
     """State after the upsert: matching keys are replaced by the batch row, others inserted.
 
-    With ``order_by`` the row with the higher order values wins, whichever side it is on (ties
-    go to the batch). Without it the batch always wins and must hold one row per key. Keys are
-    compared null-safe. Existing rows are only filtered: when the batch is small the adaptive
-    planner broadcasts its keys and the existing rows are not shuffled.
+    The batch holds one row per key (``newest_per_key``). With ``order_by`` the row with the
+    higher order values wins, whichever side it is on, and ties go to the batch; without it the
+    batch always wins. Keys are compared null-safe. Existing rows are only filtered: when the
+    batch is small the adaptive planner broadcasts its keys and existing rows are not shuffled.
     """
     if order_by is None:
         kept = anti_join(existing, batch, keys)
         return kept.unionByName(batch, allowMissingColumns=True).select(*batch.columns)
 
-    newest = newest_per_key(batch, keys, order_by)
     matched = same_key("e", "b", keys)
 
     def order(side: str) -> Column:
         return F.struct(*(F.col(f"{side}.{c}") for c in order_by))
 
-    old = existing.alias("e")
-    new = newest.select(*keys, *order_by).alias("b")
-    kept = old.join(new, matched & (order("b") >= order("e")), "left_anti")
+    new = batch.select(*keys, *order_by).alias("b")
+    kept = existing.alias("e").join(new, matched & (order("b") >= order("e")), "left_anti")
     outdated = (
         existing.select(*keys, *order_by)
         .alias("e")
         .join(new, matched & (order("e") > order("b")), "left_semi")
     )
-    incoming = anti_join(newest, outdated, keys)
+    incoming = anti_join(batch, outdated, keys)
     return kept.unionByName(incoming, allowMissingColumns=True).select(*batch.columns)
 
 
@@ -72,9 +70,10 @@ def upsert(
     partition. The table takes the columns of the batch: new columns are NULL in older rows,
     vanished columns are no longer read.
 
-    One writer per table. The batch is written to the shared folder first (unless it is
-    ``staged``, that is, read from a written table), which cuts its lineage and gives the planner
-    its real size. Where touched partitions already hold rows, the merged partitions are staged
+    One writer per table. The batch is reduced to one row per key and written to the shared
+    folder first, which cuts its lineage and gives the planner its real size; a ``staged`` batch
+    is read from a written table with one row per key already. Without ``order_by`` the caller
+    sees to it that a key occurs once. Where touched partitions already hold rows, the merged partitions are staged
     as well and then copied over the target: a retry with the same ``batch_id`` after a crash
     during the copy repeats the copy from the stage and never reads the half-replaced target.
     """
@@ -89,14 +88,14 @@ def upsert(
 
     if batch_id is None or _staged_batch(spark, marker) != batch_id:
         if not staged:
-            write_partitioned(batch, f"{stage}/batch", partition_col)
+            single = batch if order_by is None else newest_per_key(batch, keys, order_by)
+            write_partitioned(single, f"{stage}/batch", partition_col)
             batch = spark.read.schema(schema).parquet(f"{stage}/batch")
         # One value per touched partition: bounded by the number of dates.
         touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
         existing = read_table(spark, path, schema).where(F.col(partition_col).isin(touched))
         if existing.isEmpty():
-            fresh = batch if order_by is None else newest_per_key(batch, keys, order_by)
-            write_partitioned(fresh, path, partition_col, sort_by, only_touched=True)
+            write_partitioned(batch, path, partition_col, sort_by, only_touched=True)
             return
         merged = merge(existing, batch, keys, order_by)
         write_partitioned(merged, merged_path, partition_col, sort_by)

@@ -44,7 +44,7 @@ from pulselake.operators.incremental import (
 from pulselake.operators.silver import classify, silver, silver_columns, split_valid
 from pulselake.operators.summary import GRAIN, device_summary
 from pulselake.operators.timeline import hot_days
-from pulselake.operators.upsert import merge, upsert
+from pulselake.operators.upsert import merge, newest_per_key, upsert
 from pulselake.plans.medallion import Lake, load_silver, run
 from pulselake.plans.oracle import (
     AS_OF,
@@ -135,10 +135,20 @@ def readings_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_operations(telemetry(spark, sf_dir))
 
 
-def topic_files(spark: SparkSession, records: DataFrame, files: int = 3) -> str:
+def stream_files(spark: SparkSession) -> int:
+    """Files to write for a stream: enough for every core, so each batch runs in parallel."""
+    return max(4, spark.sparkContext.defaultParallelism)
+
+
+def half(spark: SparkSession) -> int:
+    """Files per batch that make a stream of ``stream_files`` run in two batches."""
+    return stream_files(spark) // 2
+
+
+def topic_files(spark: SparkSession, records: DataFrame) -> str:
     """Topic records written as files, for the file form of the topic sources."""
     path = scratch_path(spark, "topic")
-    records.repartition(files, "partition", "offset").write.parquet(path)
+    records.repartition(stream_files(spark), "partition", "offset").write.parquet(path)
     return path
 
 
@@ -182,7 +192,7 @@ def a2(spark, sf):
 def a3(spark, sf):
     source = topic_files(spark, change_topic(telemetry(spark, sf)))
     target, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "checkpoint")
-    drained(jobs.start_landing(spark, source, target, checkpoint, jobs.ONCE, max_files=2))
+    drained(jobs.start_landing(spark, source, target, checkpoint, jobs.ONCE, max_files=half(spark)))
     return parse_bronze(spark.read.parquet(target)).select(
         "kafka_topic",
         "kafka_partition",
@@ -715,7 +725,10 @@ def e6_merge(spark, sf):
     stored = keep_latest(
         readings.where("kafka_offset >= 10000000"), READING_KEY, [F.desc("kafka_offset")]
     )
-    return merge(stored, readings.where("kafka_offset < 10000000"), READING_KEY, ["kafka_offset"])
+    late = newest_per_key(
+        readings.where("kafka_offset < 10000000"), READING_KEY, ["kafka_offset"]
+    )
+    return merge(stored, late, READING_KEY, ["kafka_offset"])
 
 
 @query(
@@ -1572,17 +1585,17 @@ def n11(spark, sf):
 # ------------------------------------------------------ O. Streaming jobs
 
 
-def _raw_files(spark, sf, files: int = 3) -> str:
+def _raw_files(spark, sf) -> str:
     path = scratch_path(spark, "raw")
-    _raw(spark, sf).repartition(files).write.parquet(path)
+    _raw(spark, sf).repartition(stream_files(spark)).write.parquet(path)
     return path
 
 
 def _silver_stream(spark, sf):
     """Silver readings as a stream, file after file of event time."""
     path = scratch_path(spark, "readings")
-    silver_of(spark, sf).repartitionByRange(3, "event_timestamp").write.parquet(path)
-    return spark.readStream.schema(SILVER).option("maxFilesPerTrigger", 2).parquet(path)
+    silver_of(spark, sf).repartitionByRange(stream_files(spark), "event_timestamp").write.parquet(path)
+    return spark.readStream.schema(SILVER).option("maxFilesPerTrigger", half(spark)).parquet(path)
 
 
 def _run_append(spark, stream: DataFrame, label: str) -> DataFrame:
@@ -1612,7 +1625,7 @@ def o1(spark, sf):
     target = scratch_path(spark, "bronze")
     drained(
         jobs.start_bronze(
-            spark, _raw_files(spark, sf), target, scratch_path(spark, "checkpoint"), max_files=2
+            spark, _raw_files(spark, sf), target, scratch_path(spark, "checkpoint"), max_files=half(spark)
         )
     )
     return spark.read.parquet(target).select(
@@ -1634,7 +1647,7 @@ def o2(spark, sf):
             scratch_path(spark, "checkpoint"),
             cfg=CFG,
             as_of=AS_OF,
-            max_files=2,
+            max_files=half(spark),
         )
     )
     return lake.read_silver(spark)
@@ -1680,7 +1693,7 @@ def o6(spark, sf):
             scratch_path(spark, "checkpoint"),
             cfg=CFG,
             as_of=AS_OF,
-            max_files=2,
+            max_files=half(spark),
             then=[jobs.rapid_change_step(lake, target, CFG, AS_OF)],
         )
     )
@@ -1779,8 +1792,8 @@ def o11_dead_letters(spark, sf):
 )
 def l6_stream(spark, sf):
     path = scratch_path(spark, "anomalies")
-    anomalies_of(spark, sf).repartitionByRange(3, "event_timestamp").write.parquet(path)
-    stream = spark.readStream.schema(ANOMALIES).option("maxFilesPerTrigger", 2).parquet(path)
+    anomalies_of(spark, sf).repartitionByRange(stream_files(spark), "event_timestamp").write.parquet(path)
+    stream = spark.readStream.schema(ANOMALIES).option("maxFilesPerTrigger", half(spark)).parquet(path)
     group = ["anomaly_type", "region"]
     notices = aggregates.throttled_notices(stream, group, lateness=WHOLE_SPAN)
     return _run_updates(spark, notices, [*group, "interval_start"], "interval_start", "notices")
