@@ -37,6 +37,7 @@ from pulselake.operators.timeline import with_neighbour
 from pulselake.operators.upsert import upsert
 from pulselake.plans.medallion import Lake, load_silver
 from pulselake.schemas import RAW
+from pulselake.session import stage
 from pulselake.sinks.archive import RECORDS_PER_FILE, with_hour_parts
 from pulselake.sinks.dead_letter import split_dead_letters
 from pulselake.sources.archive import PARTS
@@ -219,8 +220,9 @@ def rapid_changes_around(
     """Rapid temperature changes of the readings a batch touched, and of those right after.
 
     A change spans at most ``rapid_change_minutes``, so the previous reading that matters lies
-    in the same hour or the one before. Only those device-hours of Silver take part, whatever
-    the order in which readings arrive: a late reading also re-evaluates its successor.
+    in the same hour or the one before. Only those device-hours of Silver take part (staged, as
+    the lag reads them in several branches), whatever the order in which readings arrive: a late
+    reading also re-evaluates its successor.
     """
     hours = batch.select(
         "device_id", F.date_trunc("hour", "event_timestamp").alias("_touched")
@@ -233,11 +235,12 @@ def rapid_changes_around(
     # One value per date of the batch: bounded by the number of dates.
     dates = around([-1, 0, 1]).select(F.to_date("_hour").alias("d")).distinct()
     touched_dates = [r.d for r in dates.collect()]
-    nearby = (
+    nearby = stage(
         silver.where(F.col("event_date").isin(touched_dates))
         .select(*READING_COLUMNS)
         .withColumn("_hour", F.date_trunc("hour", "event_timestamp"))
-        .join(around([-1, 0, 1]), ["device_id", "_hour"], "left_semi")
+        .join(around([-1, 0, 1]), ["device_id", "_hour"], "left_semi"),
+        "nearby",
     )
     lagged = with_neighbour(nearby, DEVICE, "event_timestamp", LAGGED).withColumn(
         "minutes_since_last",
