@@ -211,6 +211,13 @@ def all_rules(cfg: Config = Config()) -> list[AnomalyRule]:
     return [spike_rule(cfg), *reading_rules(cfg), rapid_change_rule(cfg)]
 
 
+def reading_key() -> Column:
+    """Identity of an anomaly: device, event time and type."""
+    return surrogate_key(
+        F.col("device_id"), key_text(F.col("event_timestamp")), F.col("anomaly_type")
+    )
+
+
 def fire(
     readings: DataFrame, rules: list[AnomalyRule], as_of: datetime | str | None = None
 ) -> DataFrame:
@@ -238,17 +245,33 @@ def fire(
         readings.where(hit)
         .select("device_id", "region", "event_date", "event_timestamp", F.inline(found))
         .where(F.col("anomaly_type").isNotNull())
-        .withColumn(
-            "anomaly_id",
-            surrogate_key(
-                F.col("device_id"), key_text(F.col("event_timestamp")), F.col("anomaly_type")
-            ),
-        )
+        .withColumn("anomaly_id", reading_key())
         .withColumn("detected_at", instant(as_of))
         .select(*ANOMALIES.fieldNames())
     )
 
 
+def verdicts(
+    readings: DataFrame, rule: AnomalyRule, as_of: datetime | str | None = None
+) -> DataFrame:
+    """Every reading as an anomaly row of one rule; ``retracted`` where it does not fire."""
+    return (
+        readings.withColumns(
+            {
+                "anomaly_type": F.lit(rule.name),
+                "severity": F.lit(rule.severity),
+                "metric_value": rule.metric,
+                "threshold_value": rule.threshold,
+                "description": rule.description,
+                "detected_at": instant(as_of),
+                "retracted": ~F.coalesce(rule.fires, F.lit(False)),
+            }
+        )
+        .withColumn("anomaly_id", reading_key())
+        .select(*ANOMALIES.fieldNames(), "retracted")
+    )
+
+
 def anomalies(
     silver: DataFrame,
     summary: DataFrame,

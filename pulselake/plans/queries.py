@@ -72,7 +72,7 @@ from pulselake.sinks.tables import (
 )
 from pulselake.sources.archive import read_archive
 from pulselake.sources.derived import change_topic, published, raw_landing, telemetry
-from pulselake.sources.tables import read_snapshot, read_table, scan
+from pulselake.sources.tables import read_snapshot, scan
 from pulselake.sources.topics import read_cdc, read_envelope, read_telemetry
 from pulselake.streaming import aggregates, jobs
 
@@ -1682,7 +1682,7 @@ def o5(spark, sf):
     return spark.read.schema(SUMMARY).parquet(target)
 
 
-@query("o6_rapid_change_stream")
+@query("o6_rapid_change_stream", f"{ANOMALY_SQL} WHERE anomaly_type = 'RAPID_TEMP_CHANGE'")
 def o6(spark, sf):
     lake, target = Lake(scratch_path(spark, "lake")), scratch_path(spark, "rapid")
     drained(
@@ -1697,7 +1697,7 @@ def o6(spark, sf):
             then=[jobs.rapid_change_step(lake, target, CFG, AS_OF)],
         )
     )
-    return read_table(spark, target, ANOMALIES)
+    return _anomaly_values(jobs.read_raised(spark, target))
 
 
 @query(

@@ -9,11 +9,12 @@ sink; jobs that replace rows use ``foreachBatch`` with an upsert guarded by the
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from pulselake.config import Config
 from pulselake.functions.quality import VALID, quality_status
@@ -29,6 +30,7 @@ from pulselake.operators.anomalies import (
     reading_rules,
     rolling_stats,
     spike_rule,
+    verdicts,
 )
 from pulselake.operators.bronze import bronze
 from pulselake.operators.silver import silver_columns
@@ -36,11 +38,12 @@ from pulselake.operators.summary import GRAIN
 from pulselake.operators.timeline import with_neighbour
 from pulselake.operators.upsert import upsert
 from pulselake.plans.medallion import Lake, load_silver
-from pulselake.schemas import RAW
+from pulselake.schemas import ANOMALIES, RAW
 from pulselake.session import stage
 from pulselake.sinks.archive import RECORDS_PER_FILE, with_hour_parts
 from pulselake.sinks.dead_letter import split_dead_letters
 from pulselake.sources.archive import PARTS
+from pulselake.sources.tables import read_table
 from pulselake.sources.topics import read_envelope, to_raw
 from pulselake.streaming.aggregates import device_day
 
@@ -214,15 +217,29 @@ def start_critical_readings(
     return start_append(alert_filter(readings, cfg), target, checkpoint, trigger)
 
 
+RAISED = StructType([*ANOMALIES.fields, StructField("retracted", BooleanType())])
+
+
+def nearby_dates(batch: DataFrame) -> list[date]:
+    """Dates of a batch and their neighbours; as many values as dates, so safe to collect."""
+    day = F.col("event_date")
+    around = F.explode(F.array(F.date_sub(day, 1), day, F.date_add(day, 1))).alias("d")
+    return [r.d for r in batch.select("event_date").distinct().select(around).distinct().collect()]
+
+
 def rapid_changes_around(
-    batch: DataFrame, silver: DataFrame, cfg: Config = Config(), as_of: datetime | str | None = None
+    batch: DataFrame,
+    silver: DataFrame,
+    dates: list[date],
+    cfg: Config = Config(),
+    as_of: datetime | str | None = None,
 ) -> DataFrame:
-    """Rapid temperature changes of the readings a batch touched, and of those right after.
+    """The rapid-change verdict on the readings a batch touched, and on those right after.
 
     A change spans at most ``rapid_change_minutes``, so the previous reading that matters lies
     in the same hour or the one before. Only those device-hours of Silver take part (staged, as
     the lag reads them in several branches), whatever the order in which readings arrive: a late
-    reading also re-evaluates its successor.
+    reading also re-evaluates its successor. ``retracted`` is true where the rule does not fire.
     """
     hours = batch.select(
         "device_id", F.date_trunc("hour", "event_timestamp").alias("_touched")
@@ -232,22 +249,24 @@ def rapid_changes_around(
         shifted = F.array(*(F.col("_touched") + F.make_dt_interval(hours=F.lit(h)) for h in offsets))
         return hours.select("device_id", F.explode(shifted).alias("_hour")).distinct()
 
-    # One value per date of the batch: bounded by the number of dates.
-    dates = around([-1, 0, 1]).select(F.to_date("_hour").alias("d")).distinct()
-    touched_dates = [r.d for r in dates.collect()]
     nearby = stage(
-        silver.where(F.col("event_date").isin(touched_dates))
+        silver.where(F.col("event_date").isin(dates))
         .select(*READING_COLUMNS)
         .withColumn("_hour", F.date_trunc("hour", "event_timestamp"))
         .join(around([-1, 0, 1]), ["device_id", "_hour"], "left_semi"),
         "nearby",
     )
-    lagged = with_neighbour(nearby, DEVICE, "event_timestamp", LAGGED).withColumn(
+    lagged = with_neighbour(nearby, DEVICE, "event_timestamp", LAGGED, cfg=cfg).withColumn(
         "minutes_since_last",
         minutes_crossed(F.col("prev_event_timestamp"), F.col("event_timestamp")),
     )
-    emitted = lagged.join(around([0, 1]), ["device_id", "_hour"], "left_semi")
-    return fire(emitted, [rapid_change_rule(cfg)], as_of)
+    judged = lagged.join(around([0, 1]), ["device_id", "_hour"], "left_semi")
+    return verdicts(judged, rapid_change_rule(cfg), as_of)
+
+
+def read_raised(spark: SparkSession, target: str) -> DataFrame:
+    """Alerts that still stand."""
+    return read_table(spark, target, RAISED).where("NOT retracted").drop("retracted")
 
 
 def rapid_change_step(
@@ -255,13 +274,24 @@ def rapid_change_step(
 ) -> BatchHook:
     """Step after ``start_silver``: rapid changes across batches, upserted by anomaly id.
 
-    The table keeps what was raised; the Gold rebuild is the corrected view.
+    An alert raised earlier that no longer holds, because a reading arrived late or was
+    corrected, is marked as retracted; ``read_raised`` leaves it out.
     """
 
     def step(valid: DataFrame, batch_id: int) -> None:
         spark = valid.sparkSession
-        found = rapid_changes_around(valid, lake.read_silver(spark), cfg, as_of)
-        upsert(found, target, ["anomaly_id"], "event_date", batch_id=batch_id)
+        dates = nearby_dates(valid)
+        judged = rapid_changes_around(valid, lake.read_silver(spark), dates, cfg, as_of)
+        raised = read_table(spark, target, RAISED).where(F.col("event_date").isin(dates))
+        known = raised.select("anomaly_id", F.lit(True).alias("_known"))
+        changed = judged.join(known, "anomaly_id", "left").where("NOT retracted OR _known")
+        upsert(
+            changed.select(*RAISED.fieldNames()),
+            target,
+            ["anomaly_id"],
+            "event_date",
+            batch_id=batch_id,
+        )
 
     return step
 

@@ -69,5 +69,4 @@ def test_no_query_leaves_the_jvm(spark):
 
 def test_entry_and_registry(spark):
     assert entry.entry(spark).count() == 382
-    assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(entry.queries()) - len(entry.oracle_sql()) <= 1
+    assert set(entry.oracle_sql()) == set(entry.queries())

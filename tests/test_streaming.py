@@ -76,16 +76,23 @@ def test_rapid_changes_across_batches_and_late_rows(spark, tmp_path):
         readings(spark, "10:01:00", temperature=30.0),  # across the hour and the batch
         readings(spark, "10:30:00", temperature=60.0),
         readings(spark, "10:27:00", temperature=45.0),  # late: before the reading above
+        readings(spark, "11:00:00", temperature=10.0),
+        readings(spark, "11:04:00", temperature=30.0),  # raised now, retracted by the next one
+        readings(spark, "11:02:00", temperature=25.0),
     ]
     for n, batch in enumerate(batches):
         upsert(batch, lake.silver, ["device_id", "event_timestamp"], "event_date", batch_id=n)
         step(batch, n)
-    streamed = read_table(spark, target, ANOMALIES)
+    streamed = jobs.read_raised(spark, target)
     whole = lake.read_silver(spark)
     batch_form = anomalies(whole, device_summary(whole), as_of=AS_OF).where(
         "anomaly_type = 'RAPID_TEMP_CHANGE'"
     )
-    assert rows(streamed, F.date_format("event_timestamp", "HH:mm")) == [("10:01",), ("10:30",)]
+    assert rows(streamed, F.date_format("event_timestamp", "HH:mm")) == [
+        ("10:01",),
+        ("10:30",),
+        ("11:02",),
+    ]
     assert same(streamed, batch_form)
 
 
