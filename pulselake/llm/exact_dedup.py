@@ -136,11 +136,13 @@ def _compare(docs: DataFrame, pending: DataFrame) -> DataFrame:
         .select("doc_id", "f1", "f2", F.col("p_sha").alias("sha"), "rep", F.encode("norm", "UTF-8").alias("body"))
         .withColumn("n_bytes", F.octet_length("body").cast("long"))
     ).drop("after")
+    rows = stage(rows, "dedup-chunks")  # texts of the groups only; both sides of the comparison read it
     leads = (
         rows.filter((F.col("rep.sha") == F.col("sha")) & F.col("rep.id").eqNullSafe(F.col("doc_id")))
         .groupBy(*GROUP, "idx")
         .agg(F.first("piece").alias("lead"))
     )
+    leads = stage(leads, "dedup-leads")
     return (
         rows.join(leads, [*GROUP, "idx"])
         .groupBy(*GROUP, "doc_id", "sha", "rep")
