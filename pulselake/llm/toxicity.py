@@ -22,15 +22,15 @@ from pulselake.llm.common import bounded_batches, crc_bucket
 
 BUCKETS = 1 << 20
 #: Word beginnings of so many letters are terms beside the word itself.
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 #: Labelled rows the model is fitted on, buckets that get weights, rows a bucket must be in.
 SAMPLE_ROWS = 20_000
-FEATURES = 1024
+FEATURES = 2048
 LEAST_ROWS = 3
 FACTORS = 8
-EPOCHS = 12
+EPOCHS = 24
 # Step, penalties, rows of a step.
-STEP, L2_LINEAR, L2_FACTORS, BATCH = 0.1, 1e-4, 1e-3, 64
+STEP, L2_LINEAR, L2_FACTORS, BATCH = 0.2, 1e-5, 1e-4, 64
 TOXIC = 0.7
 #: Words whose buckets a worker remembers. Result-neutral.
 MEMO = 400_000
@@ -130,7 +130,7 @@ def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def choose(rows: DataFrame, features: int = FEATURES) -> dict[int, int]:
-    """The buckets with the largest log-likelihood ratio between the labels, numbered."""
+    """The buckets that most speak for the label, by log-likelihood ratio, numbered."""
     tallies = rows.mapInArrow(_tallies, "bucket long, clean long, toxic long")
     sums = tallies.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     whole = sums.filter("bucket = -1").first()
@@ -153,6 +153,7 @@ def choose(rows: DataFrame, features: int = FEATURES) -> dict[int, int]:
     )
     best = (
         sums.filter((F.col("bucket") >= 0) & (seen >= LEAST_ROWS))
+        .filter(F.col("toxic") * (clean + toxic) > seen * toxic)
         .select("bucket", ratio.alias("ratio"))
         .orderBy(F.desc("ratio"), "bucket")
         .limit(features)
