@@ -106,3 +106,40 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
            + greatest(0, least(start + size, floor(target)::BIGINT % source_size) - start) END AS BIGINT) AS taken
 FROM placed JOIN goals ON placed.source IS NOT DISTINCT FROM goals.source
 """
+
+ORACLES["op8_line_dedup"] = """
+WITH cut AS (
+    SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL
+), lines AS (
+    SELECT doc_id, unnest(range(len(parts))) AS line_no,
+           trim(unnest(parts), ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line
+    FROM cut
+), firsts AS (
+    SELECT line, length(line) AS n, min({'d': doc_id, 'l': line_no}) AS place FROM lines WHERE line <> '' GROUP BY line
+), halves AS (
+    SELECT *, left(line, n // 2) AS head, right(line, n - n // 2) AS tail FROM firsts WHERE n >= 20
+), longer AS (
+    -- The same line as the longer of a pair: halves of a line that is one shorter.
+    SELECT line, place, n - 1 AS n, left(line, (n - 1) // 2) AS head, right(line, n - 1 - (n - 1) // 2) AS tail
+    FROM firsts WHERE n >= 21
+), pairs AS (
+    SELECT a.line AS one, b.line AS two, a.place AS p, b.place AS q
+    FROM halves a JOIN halves b ON a.n = b.n AND a.head = b.head AND a.line <> b.line
+    UNION SELECT a.line, b.line, a.place, b.place
+    FROM halves a JOIN halves b ON a.n = b.n AND a.tail = b.tail AND a.line <> b.line
+    UNION SELECT a.line, b.line, a.place, b.place FROM halves a JOIN longer b ON a.n = b.n AND a.head = b.head
+    UNION SELECT a.line, b.line, a.place, b.place FROM halves a JOIN longer b ON a.n = b.n AND a.tail = b.tail
+), near AS (
+    SELECT one, two, p, q FROM pairs WHERE levenshtein(one, two) = 1
+), homes AS (
+    SELECT line, min(place) AS home FROM (
+        SELECT line, place FROM firsts
+        UNION ALL SELECT one, q FROM near
+        UNION ALL SELECT two, p FROM near)
+    GROUP BY line
+)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no,
+       home IS NULL OR home = {'d': doc_id, 'l': line_no} AS kept,
+       coalesce(home.d, doc_id) AS first_doc_id, CAST(coalesce(home.l, line_no) AS INTEGER) AS first_line_no
+FROM lines LEFT JOIN homes USING (line)
+"""
