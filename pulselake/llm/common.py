@@ -55,3 +55,30 @@ def offsets(rows: list, key: str, *values: str) -> dict:
         out[row[key]] = tuple(sums)
         sums = [s + row[v] for s, v in zip(sums, values)]
     return out
+
+
+#: Bits of a key filter. Its table has at most 1/64 as many rows, so it may be broadcast.
+FILTER_BITS = 1 << 23
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """f_word, f_mask: a bitmap of hashed keys, of bounded size for any number of keys."""
+    spot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    words = keys.select(F.shiftright(spot, 6).alias("f_word"), F.expr(f"shiftleft(1L, cast({_bit(key)} as int))").alias("bit"))
+    return words.groupBy("f_word").agg(F.bit_or("bit").alias("f_mask"))
+
+
+def _bit(key: str) -> str:
+    return f"pmod(xxhash64({key}), {FILTER_BITS}L) & 63"
+
+
+def maybe_in(rows: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """``rows`` with ``hit``: false only if ``key`` is not among those of the filter.
+
+    Rows without a hit need not take part in a join on the key. A filter that fills up passes
+    more rows; the join decides.
+    """
+    word = F.shiftright(F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)), 6)
+    bit = F.expr(f"f_mask & shiftleft(1L, cast({_bit(key)} as int))")
+    joined = rows.join(F.broadcast(found), word == F.col("f_word"), "left")
+    return joined.withColumn("hit", F.coalesce(bit != 0, F.lit(False))).drop("f_word", "f_mask")

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulselake.llm.common import key_filter, maybe_in
 from pulselake.session import stage
 
 #: Stretches that a line, and then a stretch, is divided into.
@@ -81,8 +82,12 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (h1, h2, place) with the line standing at the place."""
-    places = wanted.groupBy("place.doc_id", "place.text_hash").agg(F.collect_set("place.line_no").alias("numbers"))
-    whole = docs.select("doc_id", "text", F.xxhash64("text").alias("w_hash")).withColumnRenamed("doc_id", "w_id")
+    places = stage(
+        wanted.groupBy("place.doc_id", "place.text_hash").agg(F.collect_set("place.line_no").alias("numbers")),
+        "lines-places",
+    )
+    whole = docs.select(F.col("doc_id").alias("w_id"), "text", F.xxhash64("text").alias("w_hash"))
+    whole = maybe_in(whole, "w_hash", key_filter(places, "text_hash")).filter("hit")
     found = places.join(whole, F.col("w_id").eqNullSafe(F.col("doc_id")) & (F.col("w_hash") == F.col("text_hash")))
     raw = found.select("numbers", F.posexplode(F.split("text", "\n")).alias("n", "raw"))
     line = F.trim(F.col("raw"), F.lit(BLANK))
@@ -106,7 +111,8 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     met = stage(_live(exploded.select("h1", "h2", "e.role", "e.part", "e.key")), "lines-met")
     # Text and place of the lines that go on.
     ids = met.select("h1", "h2").distinct()
-    held = stage(distinct.select("h1", "h2", "place").join(ids, ["h1", "h2"]), "lines-held")
+    able = maybe_in(distinct.select("h1", "h2", "place"), "h1", key_filter(ids, "h1")).filter("hit").drop("hit")
+    held = stage(able.join(ids, ["h1", "h2"]), "lines-held")
     texts = _texts(docs, held)
     held = stage(held.join(texts, (F.col("h1") == F.col("t1")) & (F.col("h2") == F.col("t2"))).drop("t1", "t2"), "lines-text")
 
@@ -161,9 +167,14 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     distinct = stage(distinct_lines(docs), "lines-distinct")
     near = links(docs, distinct).select(F.col("h1").alias("n1"), F.col("h2").alias("n2"), "first")
-    homes = distinct.join(near, (F.col("h1") == F.col("n1")) & (F.col("h2") == F.col("n2")), "left").select(
-        F.col("h1").alias("d1"), F.col("h2").alias("d2"), F.least("place", F.coalesce("first", "place")).alias("home")
+    near = stage(near, "lines-near")
+    asked = maybe_in(distinct.select("h1", "h2", "place"), "h1", key_filter(near, "n1"))
+    own = [F.col("h1").alias("d1"), F.col("h2").alias("d2")]
+    moved = asked.filter("hit").join(near, (F.col("h1") == F.col("n1")) & (F.col("h2") == F.col("n2")), "left")
+    homes = moved.select(*own, F.least("place", F.coalesce("first", "place")).alias("home")).unionByName(
+        asked.filter("not hit").select(*own, F.col("place").alias("home"))
     )
+    homes = stage(homes, "lines-homes")  # a plain table, so that Spark can split a very common line's rows
     rows = lines(docs).select("doc_id", "line_no", "h1", "h2", "place", (F.col("line") == "").alias("blank"))
     blank = rows.filter("blank").withColumn("home", F.col("place"))
     full = rows.filter("not blank").join(homes, (F.col("h1") == F.col("d1")) & (F.col("h2") == F.col("d2")))

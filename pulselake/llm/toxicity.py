@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.llm.common import bounded_batches, crc_bucket
+from pulselake.session import stage
 
 BUCKETS = 1 << 20
 #: Word beginnings of so many letters are terms beside the word itself.
@@ -109,8 +110,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = min(1.0, rows / max(1, known.count()))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = known.filter(draw < share).select(F.col("doc_id").alias("l_id"), "toxic")
-    return docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("l_id")).select("text", "toxic")
+    chosen = stage(known.filter(draw < share).select(F.col("doc_id").alias("l_id"), "toxic"), "toxic-sample")
+    # About ``rows`` ids and labels at most, whatever the tables' size.
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
+    return found.select("text", "toxic")
 
 
 def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,6 +136,7 @@ def choose(rows: DataFrame, features: int = FEATURES) -> dict[int, int]:
     """The buckets that most speak for the label, by log-likelihood ratio, numbered."""
     tallies = rows.mapInArrow(_tallies, "bucket long, clean long, toxic long")
     sums = tallies.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    sums = stage(sums, "toxic-terms")  # BUCKETS rows at most
     whole = sums.filter("bucket = -1").first()
     if whole is None or not whole["clean"] or not whole["toxic"]:
         return {}
