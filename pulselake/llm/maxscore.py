@@ -23,7 +23,7 @@ TOP = 10
 #: Every how many ids a row is a query.
 QUERY_STEP = 100
 #: Rows of a shard and queries of a block, about. Result-neutral.
-SHARD_ROWS = 512
+SHARD_ROWS = 2048
 BLOCK_QUERIES = 1024
 
 
@@ -98,14 +98,17 @@ def _search(k: int):
             width = max(queries["q_vector"].map(len).max(), rows["vector"].map(len).max())
             q_rows, r_rows = _numbers(queries["q_vector"], width), _numbers(rows["vector"], width)
             ids = rows["vec_id"].to_numpy(np.int64)
-            first, second = Shard(ids[: 4 * k], r_rows[: 4 * k]), None
-            if len(ids) > 4 * k:
-                second = Shard(ids[4 * k :], r_rows[4 * k :])
-            for own, query in zip(queries["query_id"].tolist(), q_rows):
-                found = first.top(own, query, k, None)
-                if second is not None:
-                    floor = found[k - 1][0] if len(found) == k else None
-                    found = sorted(found + second.top(own, query, k, floor), key=lambda x: (-x[0], x[1]))[:k]
+            order = np.argsort(ids, kind="stable")
+            ids, r_rows = ids[order], r_rows[order]
+            # A few rows compared in full give the score that the others have to reach.
+            seeds = 4 * k
+            scores = q_rows @ r_rows[:seeds].T
+            rest = Shard(ids[seeds:], r_rows[seeds:])
+            for own, query, seeded in zip(queries["query_id"].tolist(), q_rows, scores):
+                found = [(int(s), i) for s, i in zip(seeded, ids[:seeds].tolist()) if i != own]
+                found = sorted(found, key=lambda x: (-x[0], x[1]))[:k]
+                floor = found[k - 1][0] if len(found) == k else None
+                found = sorted(found + rest.top(own, query, k, floor), key=lambda x: (-x[0], x[1]))[:k]
                 out += [(own, ident, score) for score, ident in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
