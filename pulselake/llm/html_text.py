@@ -13,10 +13,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.llm.common import bounded_batches
+from pulselake.session import stage
 
 # What HTML's tags mean here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -262,7 +263,7 @@ class Page:
         return [text for element, text in self.blocks if within(element)]
 
 
-def host(url_column: str = "url"):
+def host(url_column: str = "url") -> Column:
     """Lower-cased host of a URL, empty if it has none."""
     found = F.regexp_extract(F.col(url_column), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     return F.lower(F.coalesce(found, F.lit("")))
@@ -303,7 +304,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     bounded_batches(pages.sparkSession)
     rows = pages.select("page_id", "url", "html", host().alias("host"))
-    joined = rows.join(winning_paths(pages.select("url", "html")), F.col("host") == F.col("w_host"), "left")
+    # A table of its own, whose size the planner knows: pages are only shuffled if it is large.
+    winners = stage(winning_paths(pages.select("url", "html")), "host-paths")
+    joined = rows.join(winners, F.col("host") == F.col("w_host"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
