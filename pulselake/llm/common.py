@@ -16,7 +16,7 @@ SPACES_BYTES = re.compile(rb"[\x20\x09-\x0D]+")
 
 #: Most bytes Spark puts into one Arrow batch for a Python worker, so that very long texts
 #: come a few at a time. Result-neutral.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -119,16 +119,15 @@ def inverse_frequencies(labelled: DataFrame) -> np.ndarray:
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [counts(t) for t in batch.column("text").to_pylist()]
-        at = [[] if c is None else np.flatnonzero(c).astype(np.int32) for c in found]
-        many = [[] if c is None else c[i].astype(np.int32) for c, i in zip(found, at)]
+        places, many = [], []
+        for text in batch.column("text").to_pylist():
+            count = counts(text)  # BUCKETS numbers, of one text at a time
+            at = np.zeros(0, np.int64) if count is None else np.flatnonzero(count)
+            places.append(at.astype(np.int32))
+            many.append(count[at].astype(np.int32) if len(at) else at.astype(np.int32))
+        kind = pa.list_(pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("lang"),
-                pa.array(at, pa.list_(pa.int32())),
-                pa.array(many, pa.list_(pa.int32())),
-            ],
-            ["lang", "at", "many"],
+            [batch.column("lang"), pa.array(places, kind), pa.array(many, kind)], ["lang", "at", "many"]
         )
 
 

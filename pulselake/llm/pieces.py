@@ -30,7 +30,7 @@ SPACE = "▁"
 #: Added to the lowest score for a character in no piece.
 UNKNOWN = -10.0
 #: Words a worker remembers, and the longest word it does. Result-neutral.
-MEMO = 300_000
+MEMO = 200_000
 MEMO_CHARS = 64
 WORD = re.compile(r" *[^ ]+| +")
 
