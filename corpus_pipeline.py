@@ -15,7 +15,7 @@ from pulselake.llm.common import squeeze, table
 from pulselake.session import stage
 
 #: Calibrated probability that the most likely language must reach.
-SURE = 0.5
+SURE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

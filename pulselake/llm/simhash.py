@@ -143,21 +143,19 @@ class _Walk:
 
 
 def _settle(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Give linked positions the smallest label of their component, in place."""
-    while len(i):
-        low = np.minimum(label[i], label[j])
-        np.minimum.at(label, i, low)
-        np.minimum.at(label, j, low)
+    """Join the components of linked positions, in place; ``label`` holds every position's root."""
+    while True:
+        i, j = label[i], label[j]
+        apart = i != j
+        if not apart.any():
+            return
+        i, j = i[apart], j[apart]
+        np.minimum.at(label, np.maximum(i, j), np.minimum(i, j))
         while True:
             up = label[label]
             if (up == label).all():
                 break
             label[:] = up
-        open_ = label[i] != label[j]
-        if not open_.any():
-            return
-        # Roots of both ends are joined too, so that far ends meet in few rounds.
-        i, j = label[i[open_]], label[j[open_]]
 
 
 def _search(rows: pd.DataFrame) -> pd.DataFrame:
