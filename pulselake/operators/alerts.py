@@ -127,9 +127,9 @@ def unresolved(alerts: DataFrame) -> DataFrame:
 
 def newest_alert(alerts: DataFrame) -> DataFrame:
     """Newest alert of each device; ties go to the smaller alert type."""
-    newest = F.max_by(
+    newest = F.min_by(
         F.struct("alert_type", "severity", "triggered_at", "is_resolved"),
-        F.struct("triggered_at", F.translate("alert_type", "hlo", "321")),
+        F.struct((-F.unix_micros(F.col("triggered_at").cast("timestamp"))).alias("age"), "alert_type"),
     )
     return alerts.groupBy("device_id").agg(newest.alias("_n")).select("device_id", "_n.*")
 

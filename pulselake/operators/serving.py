@@ -15,15 +15,18 @@ from pulselake.functions.timeutil import truncate
 When = datetime | str | None
 
 
+def first_rows(df: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows of an ordered frame; ``None`` keeps all."""
+    return df if limit is None else df.limit(limit)
+
+
 def in_region(df: DataFrame, region: str | None) -> DataFrame:
     """Rows of one region; ``None`` or ``All`` keeps everything."""
     return df if region in (None, "All") else df.where(F.col("region") == region)
 
 
 def last_days(df: DataFrame, as_of: When, days: int, date_col: str = "event_date") -> DataFrame:
-    """Rows of the last ``days`` dates before ``as_of`` (1 to 30) and of the date itself."""
-    if not 1 <= days <= 30:
-        raise ValueError("days must be between 1 and 30")
+    """Rows of the last ``days`` dates before ``as_of`` and of the date itself."""
     return df.where(F.col(date_col) >= F.date_sub(today(as_of), days))
 
 
@@ -65,7 +68,7 @@ def device_status(summary: DataFrame, region: str | None = None) -> DataFrame:
 
 
 def temperature_trend(
-    silver: DataFrame, as_of: When, days: int = 7, region: str | None = None, limit: int = 500
+    silver: DataFrame, as_of: When, days: int = 7, region: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Hourly temperature by region, newest hours first."""
     recent = silver.where(
@@ -82,19 +85,19 @@ def temperature_trend(
             F.round(F.min("temperature"), 2).alias("min_temp"),
         )
         .orderBy(F.desc("hour"), "region")
-        .limit(limit)
+        .transform(first_rows, limit)
     )
 
 
 def recent_anomalies(
-    anomalies: DataFrame, as_of: When, days: int = 1, region: str | None = None, limit: int = 50
+    anomalies: DataFrame, as_of: When, days: int = 1, region: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Newest anomalies of the last day."""
     return (
         in_region(last_days(anomalies, as_of, days), region)
         .select("device_id", "region", "anomaly_type", "severity", "description", "event_timestamp")
         .orderBy(F.desc("event_timestamp"), "device_id", "anomaly_type")
-        .limit(limit)
+        .transform(first_rows, limit)
     )
 
 
@@ -140,7 +143,7 @@ def latest_readings(silver: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def latest_positions(
-    silver: DataFrame, as_of: When, hours: int = 2, region: str | None = None, limit: int = 200
+    silver: DataFrame, as_of: When, hours: int = 2, region: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Position and state of devices seen in the last hours.
 
@@ -155,7 +158,7 @@ def latest_positions(
     return (
         in_region(latest_readings(recent, POSITION_COLUMNS), region)
         .orderBy("device_id")
-        .limit(limit)
+        .transform(first_rows, limit)
     )
 
 
@@ -168,11 +171,11 @@ def health_band(score: str = "device_health_score") -> Column:
     return F.when(value < 40, "Critical").when(value < 70, "Warning").otherwise("Healthy")
 
 
-def health_leaderboard(summary: DataFrame, region: str | None = None, limit: int = 15) -> DataFrame:
+def health_leaderboard(summary: DataFrame, region: str | None = None, limit: int | None = None) -> DataFrame:
     """Worst devices of the newest day with their health band."""
     return (
         device_status(summary, region)
-        .limit(limit)
+        .transform(first_rows, limit)
         .withColumn("health", health_band())
         .select(
             "device_id",
@@ -188,7 +191,7 @@ def health_leaderboard(summary: DataFrame, region: str | None = None, limit: int
 
 
 def alert_feed(
-    anomalies: DataFrame, as_of: When, days: int = 1, region: str | None = None, limit: int = 20
+    anomalies: DataFrame, as_of: When, days: int = 1, region: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Newest anomalies for display: severity marker and time to the minute."""
     return recent_anomalies(anomalies, as_of, days, region, limit).select(

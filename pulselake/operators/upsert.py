@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulselake.operators.dedup import keep_latest
 from pulselake.operators.incremental import anti_join, same_key
-from pulselake.session import path_exists, scratch_path, shared_dir
+from pulselake.session import path_exists, release, scratch_path
 from pulselake.sinks.tables import write_partitioned
 from pulselake.sources.tables import read_table
 
@@ -46,12 +46,21 @@ def merge(
     return kept.unionByName(incoming, allowMissingColumns=True).select(*batch.columns)
 
 
-def _staged_batch(spark: SparkSession, path: str) -> int | None:
-    """Batch id of the last complete stage, if any."""
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        return None
-    row = spark.read.schema("batch_id bigint").parquet(path).first()
-    return row[0] if row else None
+def _redo(path: str) -> str:
+    """Folder inside the table, hidden from its readers, with partitions about to replace others."""
+    return f"{path.rstrip('/')}/_redo/rows"
+
+
+def recover(spark: SparkSession, path: str, partition_col: str, sort_by: list[str] | None = None) -> None:
+    """Finish a replacement of partitions that was interrupted.
+
+    The merged partitions are complete once their ``_SUCCESS`` exists. Copying them over the
+    table repeats what a crash left half done; without it they were never applied and go.
+    """
+    redo = _redo(path)
+    if path_exists(spark, f"{redo}/_SUCCESS"):
+        write_partitioned(spark.read.parquet(redo), path, partition_col, sort_by, only_touched=True)
+    release(spark, redo.removesuffix("/rows"))
 
 
 def upsert(
@@ -61,7 +70,6 @@ def upsert(
     partition_col: str,
     order_by: list[str] | None = None,
     sort_by: list[str] | None = None,
-    batch_id: int | None = None,
     staged: bool = False,
 ) -> None:
     """Upsert ``batch`` into the table at ``path``; only touched partitions are rewritten.
@@ -73,39 +81,30 @@ def upsert(
     One writer per table. The batch is reduced to one row per key and written to the shared
     folder first, which cuts its lineage and gives the planner its real size; a ``staged`` batch
     is read from a written table with one row per key already. Without ``order_by`` the caller
-    sees to it that a key occurs once. Where touched partitions already hold rows, the merged partitions are staged
-    as well and then copied over the target: a retry with the same ``batch_id`` after a crash
-    during the copy repeats the copy from the stage and never reads the half-replaced target.
+    sees to it that a key occurs once.
+
+    Where touched partitions already hold rows, the merged partitions are written inside the
+    table's folder first and then copied over the old ones. The next upsert, whichever batch it
+    brings, first finishes a copy that a crash cut short. Applying a batch twice gives the same
+    table, so nothing depends on batch ids, and a stream that starts over loses nothing.
     """
     spark = batch.sparkSession
     schema = batch.schema
-    if batch_id is None:
-        stage = scratch_path(spark, "upsert")
+    recover(spark, path, partition_col, sort_by)
+    held = None
+    if not staged:
+        held = scratch_path(spark, "upsert")
+        single = batch if order_by is None else newest_per_key(batch, keys, order_by)
+        single.write.parquet(held)
+        batch = spark.read.schema(schema).parquet(held)
+    existing = read_table(spark, path, schema)
+    touched = batch.select(partition_col).distinct()
+    # Pruned at run time: only partitions that the batch touches are opened.
+    existing = existing.join(touched, partition_col, "left_semi").select(*existing.columns)
+    if existing.isEmpty():
+        write_partitioned(batch, path, partition_col, sort_by, only_touched=True)
     else:
-        slot = path.strip("/").replace("/", "_").replace(":", "_")
-        stage = f"{shared_dir(spark)}/pulselake/upsert-{slot}"
-    merged_path, marker = f"{stage}/merged", f"{stage}/done"
-
-    if batch_id is None or _staged_batch(spark, marker) != batch_id:
-        if not staged:
-            single = batch if order_by is None else newest_per_key(batch, keys, order_by)
-            write_partitioned(single, f"{stage}/batch", partition_col)
-            batch = spark.read.schema(schema).parquet(f"{stage}/batch")
-        # One value per touched partition: bounded by the number of dates.
-        touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
-        existing = read_table(spark, path, schema).where(F.col(partition_col).isin(touched))
-        if existing.isEmpty():
-            write_partitioned(batch, path, partition_col, sort_by, only_touched=True)
-            return
-        merged = merge(existing, batch, keys, order_by)
-        write_partitioned(merged, merged_path, partition_col, sort_by)
-        done = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"))
-        done.write.mode("overwrite").parquet(marker)
-
-    merged = spark.read.schema(schema).parquet(merged_path)
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+        merge(existing, batch, keys, order_by).write.mode("overwrite").parquet(_redo(path))
+        recover(spark, path, partition_col, sort_by)
+    if held:
+        release(spark, held)

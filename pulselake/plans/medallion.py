@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType
 
 from pulselake.config import Config, instant
 from pulselake.functions.quality import VALID
@@ -20,10 +21,11 @@ from pulselake.operators.silver import classify, quarantine_columns, silver_colu
 from pulselake.operators.summary import device_summary
 from pulselake.operators.upsert import upsert
 from pulselake.schemas import ANOMALIES, QUARANTINE, RAW, SILVER, SUMMARY
-from pulselake.session import scratch_path
+from pulselake.session import release, scratch_path
 from pulselake.sinks.tables import rebuild
 from pulselake.sources.tables import read_table
 
+LOADS = StructType([StructField("covered", TimestampNTZType())])
 QUARANTINE_KEY = [*READING_KEY, "kafka_offset"]
 
 
@@ -45,6 +47,11 @@ class Lake:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def loads(self) -> str:
+        """Log of finished loads: the newest ingest time that each of them covered."""
+        return f"{self.root}/loads"
+
     @property
     def summary(self) -> str:
         return f"{self.root}/device_summary"
@@ -85,15 +92,14 @@ def time_band(moment: Column) -> Column:
 
 
 def stage_classified(
-    readings: DataFrame, cfg: Config = Config(), as_of: datetime | str | None = None
+    readings: DataFrame, path: str, cfg: Config = Config(), as_of: datetime | str | None = None
 ) -> DataFrame:
-    """Classified readings written once to the shared folder and read back.
+    """Classified readings written once to ``path`` in the shared folder and read back.
 
     Both targets read the written table, so the deduplication shuffle runs once and a lost
     executor does not repeat it.
     """
     spark = readings.sparkSession
-    path = scratch_path(spark, "classified")
     classified = classify(readings, cfg, as_of).withColumn("_valid", F.col("dq_status") == VALID)
     classified.write.partitionBy("_valid").parquet(path)
     return spark.read.schema(classified.schema).parquet(path)
@@ -104,10 +110,15 @@ def load_silver(
     lake: Lake,
     cfg: Config = Config(),
     as_of: datetime | str | None = None,
-    batch_id: int | None = None,
-) -> DataFrame:
-    """Upsert one batch of Bronze readings into Silver and quarantine; returns the valid part."""
-    classified = stage_classified(readings, cfg, as_of)
+    then: list[Callable[[DataFrame], None]] | None = None,
+) -> None:
+    """Upsert one batch of Bronze readings into Silver and quarantine.
+
+    ``then`` runs on the valid part before the staged batch is deleted.
+    """
+    spark = readings.sparkSession
+    path = scratch_path(spark, "classified")
+    classified = stage_classified(readings, path, cfg, as_of)
     valid = silver_columns(classified.where("_valid"), cfg)
     rejected = quarantine_columns(classified.where("NOT _valid"), as_of).withColumn(
         "time_band", time_band(F.col("event_timestamp"))
@@ -119,7 +130,6 @@ def load_silver(
         "event_date",
         order_by=["kafka_offset", "kafka_partition"],
         sort_by=["region"],
-        batch_id=batch_id,
         staged=True,
     )
     upsert(
@@ -128,10 +138,11 @@ def load_silver(
         QUARANTINE_KEY,
         "time_band",
         order_by=["kafka_partition", "quarantined_at"],
-        batch_id=batch_id,
         staged=True,
     )
-    return valid
+    for step in then or []:
+        step(valid)
+    release(spark, path)
 
 
 def rebuild_gold(
@@ -148,15 +159,12 @@ def rebuild_gold(
 
 
 def last_load(spark: SparkSession, lake: Lake) -> datetime | None:
-    """Newest ingest time over both targets.
+    """Newest ingest time that a finished load covered.
 
-    One shared watermark: a batch that only produced quarantine rows still moves it.
+    A load is logged after Silver and quarantine both hold it, so a run that failed between the
+    two is repeated whole. The log has one small row per load; no table is scanned.
     """
-    loaded = [
-        high_watermark(lake.read_silver(spark), "ingested_at"),
-        high_watermark(lake.read_quarantine(spark), "quarantined_at"),
-    ]
-    return max((t for t in loaded if t is not None), default=None)
+    return high_watermark(read_table(spark, lake.loads, LOADS), "covered")
 
 
 def run(
@@ -171,7 +179,10 @@ def run(
     since = last_load(spark, lake) if incremental else None
     if since is not None:
         raw = raw.where(F.col("ingested_at") > instant(since))
+    covered = high_watermark(raw, "ingested_at")
     load_silver(bronze(raw), lake, cfg, as_of)
+    if covered is not None:
+        spark.createDataFrame([(covered,)], LOADS).coalesce(1).write.mode("append").parquet(lake.loads)
     rebuild_gold(spark, lake, cfg, as_of)
 
 

@@ -1023,7 +1023,7 @@ def i3(spark, sf):
 FROM silver WHERE event_timestamp >= {SERVED} - INTERVAL '7' DAY GROUP BY 1, 2 ORDER BY hour DESC, region LIMIT 500""",
 )
 def i4(spark, sf):
-    return serving.temperature_trend(silver_of(spark, sf), SERVED_AT)
+    return serving.temperature_trend(silver_of(spark, sf), SERVED_AT, limit=500)
 
 
 RECENT_SQL = f"""FROM anomalies WHERE event_date >= CAST({SERVED} AS DATE) - 1
@@ -1035,7 +1035,7 @@ ORDER BY event_timestamp DESC, device_id, anomaly_type"""
     f"SELECT device_id, region, anomaly_type, severity, description, event_timestamp {RECENT_SQL} LIMIT 50",
 )
 def i5(spark, sf):
-    return serving.recent_anomalies(anomalies_of(spark, sf), SERVED_AT)
+    return serving.recent_anomalies(anomalies_of(spark, sf), SERVED_AT, limit=50)
 
 
 @query(
@@ -1056,7 +1056,7 @@ FROM silver AS s JOIN (SELECT device_id, MAX(event_timestamp) AS newest FROM sil
 WHERE s.event_timestamp >= {SERVED} - INTERVAL '2' HOUR ORDER BY s.device_id LIMIT 200""",
 )
 def i7(spark, sf):
-    return serving.latest_positions(silver_of(spark, sf), SERVED_AT)
+    return serving.latest_positions(silver_of(spark, sf), SERVED_AT, limit=200)
 
 
 @query(
@@ -1067,7 +1067,7 @@ FROM summary WHERE event_date = (SELECT MAX(event_date) FROM summary)
 ORDER BY device_health_score, device_id, region LIMIT 15""",
 )
 def i8(spark, sf):
-    return serving.health_leaderboard(summary_of(spark, sf))
+    return serving.health_leaderboard(summary_of(spark, sf), limit=15)
 
 
 @query(
@@ -1086,7 +1086,7 @@ def i9(spark, sf):
   strftime(event_timestamp, '%Y-%m-%d %H:%M') AS seen_at, region FROM (SELECT * {RECENT_SQL} LIMIT 20) AS newest""",
 )
 def i10(spark, sf):
-    return serving.alert_feed(anomalies_of(spark, sf), SERVED_AT)
+    return serving.alert_feed(anomalies_of(spark, sf), SERVED_AT, limit=20)
 
 
 # ----------------------------------------------------- J. Measure export

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,16 +38,23 @@ def build_session(name: str = "pulselake", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """Root for staged tables: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (a local test run) a temporary folder is made.
+    Only where the session names none and runs on one machine a temporary folder is made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    require_local(spark.sparkContext.master)
     root = tempfile.mkdtemp(prefix="pulselake-")
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+def require_local(master: str) -> None:
+    """Refuse a folder of one machine where executors run on others."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/pulselake/{label}-{uuid.uuid4().hex}"
@@ -64,6 +72,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.delete(hadoop_path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, on whichever file system it names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

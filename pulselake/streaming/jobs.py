@@ -50,9 +50,8 @@ from pulselake.streaming.aggregates import device_day
 Trigger = dict
 ONCE: Trigger = {"availableNow": True}
 EVERY_FIVE_MINUTES: Trigger = {"processingTime": "5 minutes"}
-# Flush limits of the raw landing.
+# Fixed value: longest time between flushes of the raw landing.
 LANDING_TRIGGER: Trigger = {"processingTime": "60 seconds"}
-LANDING_RECORDS = 10_000
 
 BatchHook = Callable[[DataFrame, int], None]
 
@@ -104,9 +103,7 @@ def start_landing(
     trigger: Trigger = LANDING_TRIGGER,
     **source_options,
 ) -> StreamingQuery:
-    """Topic records to the raw landing table."""
-    if "bootstrap" in source_options:
-        source_options.setdefault("max_records", LANDING_RECORDS)
+    """Topic records to the raw landing table; as fast as they come unless ``max_records`` is given."""
     envelope = read_envelope(spark, source, streaming=True, **source_options)
     return start_append(to_raw(envelope), target, checkpoint, trigger)
 
@@ -146,9 +143,8 @@ def start_silver(
     """Raw landing to Silver and quarantine by upsert; ``then`` runs on the valid readings."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        valid = load_silver(batch, lake, cfg, as_of, batch_id)
-        for step in then or []:
-            step(valid, batch_id)
+        steps = [lambda valid, step=step: step(valid, batch_id) for step in then or []]
+        load_silver(batch, lake, cfg, as_of, steps)
 
     return start_batches(
         bronze(read_raw_stream(spark, raw_path, max_files)), handle, checkpoint, trigger
@@ -168,7 +164,7 @@ def start_upserts(
     """Upsert each batch by key; a repeated batch leaves the table as it was."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, target, keys, partition_col, sort_by=sort_by, batch_id=batch_id)
+        upsert(batch, target, keys, partition_col, sort_by=sort_by)
 
     return start_batches(stream, handle, checkpoint, trigger, mode)
 
@@ -290,7 +286,6 @@ def rapid_change_step(
             target,
             ["anomaly_id"],
             "event_date",
-            batch_id=batch_id,
         )
 
     return step
@@ -309,7 +304,7 @@ def spike_step(
         stats = rolling_stats(device_days(lake.read_summary(spark)), cfg)
         joined = valid.join(stats, ["device_id", "event_date"], "left")
         found = fire(joined, [spike_rule(cfg)], as_of)
-        upsert(found, target, ["anomaly_id"], "event_date", batch_id=batch_id)
+        upsert(found, target, ["anomaly_id"], "event_date")
 
     return step
 

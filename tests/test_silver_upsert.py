@@ -11,6 +11,8 @@ from pulselake.operators.incremental import (
     skip_processed,
 )
 from pulselake.operators.upsert import merge, upsert
+from pulselake.session import require_local
+from pulselake.streaming import jobs
 from pulselake.plans.medallion import Lake, load_silver, rebuild_gold, run, silver_violations
 from pulselake.sinks.tables import schema_changes
 from pulselake.sources.derived import raw_landing, telemetry
@@ -84,20 +86,102 @@ def test_columns_follow_the_batch(spark, tmp_path):
     assert changes == {"added": ["extra"], "removed": ["version"]}
 
 
-def test_retry_after_a_crash_during_the_copy(spark, tmp_path, monkeypatch):
-    """A batch repeated after a lost target partition is restored from the stage."""
+def test_crash_during_the_copy_is_finished_by_any_later_batch(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
-    upsert(frame(spark, ("a", "2024-01-01", 1, "x")), path, ["k", "day"], "day", batch_id=0)
-    batch = frame(spark, ("b", "2024-01-01", 1, "y"))
-    upsert(batch, path, ["k", "day"], "day", batch_id=1)
-    # The copy of batch 1 stopped after the old partition was removed.
-    spark.createDataFrame([], SCHEMA).write.mode("overwrite").parquet(path)
-    assert table(spark, path) == []
-    monkeypatch.setattr(upsert_module, "merge", None)
-    upsert(batch, path, ["k", "day"], "day", batch_id=1)
+    upsert(frame(spark, ("a", "2024-01-01", 1, "x")), path, ["k", "day"], "day")
+    real = upsert_module.write_partitioned
+
+    def crash(*args, **kwargs):
+        # The old partition is gone already, the new one not there yet.
+        spark.createDataFrame([], SCHEMA).write.mode("append").parquet(path)
+        for old in (tmp_path / "t").glob("day=*/*"):
+            old.unlink()
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(upsert_module, "write_partitioned", crash)
+    with pytest.raises(RuntimeError):
+        upsert(frame(spark, ("b", "2024-01-01", 1, "y")), path, ["k", "day"], "day")
+    monkeypatch.setattr(upsert_module, "write_partitioned", real)
+    upsert(frame(spark, ("c", "2024-01-01", 1, "z")), path, ["k", "day"], "day")
+    assert table(spark, path) == [("a", 1, "x"), ("b", 1, "y"), ("c", 1, "z")]
+
+
+def test_crash_while_merging_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert(frame(spark, ("a", "2024-01-01", 1, "x")), path, ["k", "day"], "day")
+    real = upsert_module.merge
+    monkeypatch.setattr(upsert_module, "merge", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        upsert(frame(spark, ("b", "2024-01-01", 1, "y")), path, ["k", "day"], "day")
+    assert table(spark, path) == [("a", 1, "x")]
+    monkeypatch.setattr(upsert_module, "merge", real)
+    upsert(frame(spark, ("b", "2024-01-01", 1, "y")), path, ["k", "day"], "day")
     assert table(spark, path) == [("a", 1, "x"), ("b", 1, "y")]
 
 
+def test_tables_with_similar_paths_stay_apart(spark, tmp_path):
+    one, two = str(tmp_path / "x" / "y"), str(tmp_path / "x_y")
+    for path, name in ((one, "one"), (two, "two")):
+        upsert(frame(spark, (name, "2024-01-01", 1, "old")), path, ["k", "day"], "day")
+        upsert(frame(spark, (name, "2024-01-01", 2, "new")), path, ["k", "day"], "day")
+    assert table(spark, one) == [("one", 2, "new")]
+    assert table(spark, two) == [("two", 2, "new")]
+
+
+def test_stream_and_batch_loads_may_alternate(spark, tmp_path):
+    """The same batch number from a stream with a new checkpoint is another batch."""
+    path, base = str(tmp_path / "t"), tmp_path
+    for n, key in enumerate("bcd"):
+        if key == "c":
+            upsert(frame(spark, (key, "2024-01-01", 1, key)), path, ["k", "day"], "day")
+            continue
+        source = str(base / f"in{n}")
+        frame(spark, (key, "2024-01-01", 1, key)).write.parquet(source)
+        jobs.start_upserts(
+            spark.readStream.schema(SCHEMA).parquet(source), path, ["k", "day"], "day", str(base / f"check{n}")
+        ).awaitTermination()
+    assert table(spark, path) == [("b", 1, "b"), ("c", 1, "c"), ("d", 1, "d")]
+
+
+def test_nothing_stays_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("pulselake.session.shared_dir", lambda s: str(tmp_path / "shared"))
+    lake = Lake(str(tmp_path / "lake"))
+    run(raw_landing(telemetry(spark, SF)), lake, as_of=AS_OF)
+    run(raw_landing(telemetry(spark, SF)), lake, as_of=AS_OF, incremental=False)
+    assert [p for p in (tmp_path / "shared").rglob("*") if "anomal" not in str(p) and p.suffix == ".parquet"] == []
+    assert list((tmp_path / "lake").rglob("_redo")) == []
+
+
+def test_run_after_a_failed_quarantine_write_loses_nothing(spark, tmp_path, monkeypatch):
+    from pulselake.plans import medallion
+
+    lake, whole = Lake(str(tmp_path / "lake")), Lake(str(tmp_path / "whole"))
+    real = medallion.upsert
+
+    def fail(batch, path, *args, **kwargs):
+        if path == lake.quarantine:
+            raise RuntimeError("lost")
+        real(batch, path, *args, **kwargs)
+
+    raw = raw_landing(telemetry(spark, SF))
+    monkeypatch.setattr(medallion, "upsert", fail)
+    with pytest.raises(RuntimeError):
+        run(raw, lake, as_of=AS_OF)
+    monkeypatch.setattr(medallion, "upsert", real)
+    run(raw, lake, as_of=AS_OF)
+    run(raw, whole, as_of=AS_OF)
+    assert lake.read_quarantine(spark).count() == whole.read_quarantine(spark).count() > 0
+    assert lake.read_silver(spark).count() == whole.read_silver(spark).count()
+
+
+def test_no_local_folder_on_a_cluster():
+    for master in ("local", "local[8]", "local[*]"):
+        require_local(master)
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://https://host"):
+        with pytest.raises(ValueError):
+            require_local(master)
+
+
 def test_incremental_replay_and_insert_absent(spark):
     batch = readings(
         spark,
