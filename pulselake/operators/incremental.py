@@ -64,6 +64,7 @@ def insert_absent(
     df: DataFrame, target: DataFrame, keys: list[str], order_by: list[Column] | None = None
 ) -> DataFrame:
     """Rows to append: keys missing from the target, one row per key."""
-    fresh = anti_join(df, target, keys)
+    # One row per key: a key with many target rows must not meet in one task.
+    fresh = anti_join(df, target.select(*keys).distinct(), keys)
     rest = [F.asc(c) for c in df.columns if c not in keys]
     return keep_latest(fresh, keys, order_by or rest or [F.asc(keys[0])])

@@ -276,8 +276,8 @@ def b2(spark, sf):
         )
 
     path = scratch_path(spark, "relational")
-    upsert(batch("kafka_offset < 10000000"), path, READING_KEY, "event_date")
-    upsert(batch("kafka_offset >= 10000000"), path, READING_KEY, "event_date")
+    upsert(batch("kafka_offset % 2 = 0"), path, READING_KEY, "event_date")
+    upsert(batch("kafka_offset % 2 = 1"), path, READING_KEY, "event_date")
     return spark.read.parquet(path).drop("event_date", "ingested_at")
 
 
@@ -383,7 +383,7 @@ def b9(spark, sf):
 @query(
     "b10_schema_sync",
     f"""SELECT device_id, event_timestamp, CAST(event_timestamp AS DATE) AS event_date, temperature,
-  CASE WHEN kafka_offset >= 10000000 THEN model END AS model FROM (
+  CASE WHEN kafka_offset % 2 = 1 THEN model END AS model FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id, event_timestamp ORDER BY kafka_offset DESC) AS pick
   FROM bronze WHERE event_timestamp IS NOT NULL) AS ordered WHERE pick = 1""",
 )
@@ -393,8 +393,8 @@ def b10(spark, sf):
     newest = keep_latest(base, READING_KEY, [F.desc("kafka_offset")])
     dated = newest.withColumn("event_date", F.to_date("event_timestamp"))
     shared = ["device_id", "event_timestamp", "event_date", "temperature"]
-    old = dated.where("kafka_offset < 10000000").select(*shared, "humidity")
-    new = dated.where("kafka_offset >= 10000000").select(*shared, "model")
+    old = dated.where("kafka_offset % 2 = 0").select(*shared, "humidity")
+    new = dated.where("kafka_offset % 2 = 1").select(*shared, "model")
     path = scratch_path(spark, "evolving")
     upsert(old, path, READING_KEY, "event_date")
     upsert(new, path, READING_KEY, "event_date")
@@ -723,10 +723,10 @@ def e6_merge(spark, sf):
     columns = ["device_id", "event_timestamp", "kafka_offset", "temperature"]
     readings = readings_of(spark, sf).select(*columns)
     stored = keep_latest(
-        readings.where("kafka_offset >= 10000000"), READING_KEY, [F.desc("kafka_offset")]
+        readings.where("kafka_offset % 2 = 1"), READING_KEY, [F.desc("kafka_offset")]
     )
     late = newest_per_key(
-        readings.where("kafka_offset < 10000000"), READING_KEY, ["kafka_offset"]
+        readings.where("kafka_offset % 2 = 0"), READING_KEY, ["kafka_offset"]
     )
     return merge(stored, late, READING_KEY, ["kafka_offset"])
 

@@ -18,7 +18,7 @@ MODELS = ["TempSensor-Pro", "HumidBot-v2", "FleetTracker-X"]
 # 1 correction) and ts.
 FORMULAS = {
     "kafka_create_time_ms": "unix_millis(cast(ts AS timestamp))",
-    "kafka_offset": "id + bump * 10000000",
+    "kafka_offset": "id * 2 + bump",
     "kafka_partition": "cast(n % 6 AS int)",
     "kafka_topic": "'device-changes'",
     "cdc_operation": "CASE WHEN bump = 1 THEN 'u' WHEN id % 29 = 0 THEN 'd' "

@@ -81,7 +81,7 @@ def test_rapid_changes_across_batches_and_late_rows(spark, tmp_path):
         readings(spark, "11:02:00", temperature=25.0),
     ]
     for n, batch in enumerate(batches):
-        upsert(batch, lake.silver, ["device_id", "event_timestamp"], "event_date", batch_id=n)
+        upsert(batch, lake.silver, ["device_id", "event_timestamp"], "event_date")
         step(batch, n)
     streamed = jobs.read_raised(spark, target)
     whole = lake.read_silver(spark)
