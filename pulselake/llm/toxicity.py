@@ -1,6 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are a text's words and the beginnings of its words, hashed. The score is the logistic of
+Terms are a text's words and the beginnings of its words, hashed; those that make up a large
+share of the text are terms of their own beside that. The score is the logistic of
 ``bias + sum w_i + sum_{i<j} <v_i, v_j>`` over the terms present, so that two terms which are
 harmless alone can be toxic together. Only the buckets that tell the labels apart best in the
 training rows get weights; all others are zero.
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,10 +26,14 @@ from pulselake.session import stage
 BUCKETS = 1 << 20
 #: Word beginnings of so many letters are terms beside the word itself.
 STEMS = (4, 5, 6, 7, 8)
+#: A word or beginning is frequent in a text from so many occurrences and one in so many words on.
+FREQUENT, ONE_IN = 2, 128
 #: Labelled rows the model is fitted on, buckets that get weights, rows a bucket must be in.
 SAMPLE_ROWS = 20_000
 FEATURES = 2048
 LEAST_ROWS = 3
+#: Log-likelihood ratio that a bucket needs: below, chance alone would fill the machine with noise.
+LEAST_RATIO = 6.0
 FACTORS = 8
 EPOCHS = 24
 # Step, penalties, rows of a step.
@@ -57,9 +63,9 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(total, -40, 40))))
 
 
-def words(text: str | None) -> set[str]:
-    """Distinct words, lower-cased: runs of letters, whatever stands around them."""
-    out: set[str] = set()
+def words(text: str | None) -> Counter[str]:
+    """Words, lower-cased, and how often each stands there: runs of letters, whatever stands around them."""
+    out: Counter[str] = Counter()
     at, n = 0, len(text or "")
     while at < n:
         upto = min(n, at + PIECE)
@@ -70,11 +76,12 @@ def words(text: str | None) -> set[str]:
     return out
 
 
-def terms(word: str) -> list[int]:
-    """Buckets of a word: its own and those of its beginnings."""
-    found = [zlib.crc32(b"w" + word.encode("utf-8", "replace"))]
-    found += [zlib.crc32(b"s" + word[:n].encode("utf-8", "replace")) for n in STEMS if len(word) >= n]
-    return [f & (BUCKETS - 1) for f in found]
+def terms(word: str) -> tuple[list[int], list[int]]:
+    """Buckets of a word's presence, its own and those of its beginnings, and of their frequent use."""
+    parts = [b"w" + word.encode("utf-8", "replace")]
+    parts += [b"s" + word[:n].encode("utf-8", "replace") for n in STEMS if len(word) >= n]
+    present, frequent = ([zlib.crc32(kind + p) & (BUCKETS - 1) for p in parts] for kind in (b"", b"f"))
+    return present, frequent
 
 
 class Lookup:
@@ -83,19 +90,26 @@ class Lookup:
     def __init__(self, places: dict[int, int] | None) -> None:
         self.places, self.seen = places, {}
 
+    def _word(self, word: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        present, frequent = terms(word)
+        if self.places is not None:
+            present, frequent = ([self.places[b] for b in found if b in self.places] for found in (present, frequent))
+        if len(self.seen) >= MEMO:
+            self.seen.clear()
+        self.seen[word] = found = (tuple(present), tuple(frequent))
+        return found
+
     def of(self, text: str | None) -> list[int]:
         out: set[int] = set()
-        for word in words(text):
-            found = self.seen.get(word)
-            if found is None:
-                found = terms(word)
-                if self.places is not None:
-                    found = [self.places[b] for b in found if b in self.places]
-                if len(self.seen) >= MEMO:
-                    self.seen.clear()
-                self.seen[word] = found = tuple(found)
-            if found:
-                out.update(found)
+        counted = words(text)
+        often: dict[int, int] = {}
+        for word, n in counted.items():
+            present, frequent = self.seen.get(word) or self._word(word)
+            out.update(present)
+            for b in frequent:
+                often[b] = often.get(b, 0) + n
+        least = max(FREQUENT, counted.total() / ONE_IN)
+        out.update(b for b, n in often.items() if n >= least)
         return sorted(out)
 
 
@@ -159,6 +173,7 @@ def choose(rows: DataFrame, features: int = FEATURES) -> dict[int, int]:
         sums.filter((F.col("bucket") >= 0) & (seen >= LEAST_ROWS))
         .filter(F.col("toxic") * (clean + toxic) > seen * toxic)
         .select("bucket", ratio.alias("ratio"))
+        .filter(F.col("ratio") >= LEAST_RATIO)
         .orderBy(F.desc("ratio"), "bucket")
         .limit(features)
         .collect()
