@@ -19,6 +19,7 @@ from pulselake.llm.common import pieces
 from pulselake.session import stage
 
 SCALE = 1024
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 TOP = 10
 #: Every how many ids a row is a query.
 QUERY_STEP = 100
@@ -109,7 +110,7 @@ def _search(k: int):
                 found = sorted(found, key=lambda x: (-x[0], x[1]))[:k]
                 floor = found[k - 1][0] if len(found) == k else None
                 found = sorted(found + rest.top(own, query, k, floor), key=lambda x: (-x[0], x[1]))[:k]
-                out += [(own, ident, score) for score, ident in found]
+                out += [(own, ident, max(LOWEST, min(HIGHEST, score))) for score, ident in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     return run
@@ -133,8 +134,9 @@ def top_k(table: DataFrame, k: int = TOP, step: int = QUERY_STEP) -> DataFrame:
 
     Vectors that are null or hold a null or non-finite component take no part, nor do rows
     without an id. Of rows that share an id the one with the smallest vector counts. Vectors of
-    different length are compared as if the shorter ended in zeros. Fewer than ``k`` other rows
-    give fewer ranks, an empty table none; other columns are ignored.
+    different length are compared as if the shorter ended in zeros. Components and scores beyond
+    a long become the nearest long. Fewer than ``k`` other rows give fewer ranks, an empty table
+    none; other columns are ignored.
     """
     rows = stage(vectors(table.select("vec_id", "embedding")), "vectors")
     total = rows.count()

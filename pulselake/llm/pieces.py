@@ -12,6 +12,7 @@ and a worker remembers a bounded number of them.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +33,8 @@ UNKNOWN = -10.0
 #: Words a worker remembers, and the longest word it does. Result-neutral.
 MEMO = 200_000
 MEMO_CHARS = 64
+#: Characters of a text from which on its words aren't listed all at once. Result-neutral.
+PIECE = 1 << 20
 WORD = re.compile(r" *[^ ]+| +")
 
 
@@ -100,8 +103,13 @@ class Automaton:
     def segment(self, word: str) -> tuple[int, ...]:
         """Ids of the best segmentation. ``SPACE`` stands for the space; see ``encode``."""
         n = len(word)
-        best = [0.0] + [float("-inf")] * n
-        came: list[tuple[int, int]] = [(0, -1)] * (n + 1)
+        # Score so far, length and id of the last piece. Lists are faster, arrays take 16 bytes a
+        # character, so that even a huge text without spaces fits.
+        short = n <= MEMO_CHARS
+        best = ([float("-inf")] if short else array("d", [float("-inf")])) * (n + 1)
+        taken = ([0] if short else array("i", [0])) * (n + 1)
+        came = ([-1] if short else array("i", [-1])) * (n + 1)
+        best[0] = 0.0
         state = 0
         nexts, fail, outs, unknown = self.next, self.fail, self.out, self.unknown
         for end in range(1, n + 1):
@@ -111,25 +119,26 @@ class Automaton:
                 state = fail[state]
                 step = nexts[state].get(ch)
             state = step or 0
-            top, link, single = best[end], came[end], False
+            top, size, link, single = best[end], 0, -1, False
             for length, ident, score in outs[state]:
                 total = best[end - length] + score
                 if total > top:
-                    top, link = total, (end - length, ident)
+                    top, size, link = total, length, ident
                 single = length == 1
             if not single and best[end - 1] + unknown > top:
-                top, link = best[end - 1] + unknown, (end - 1, -1)
-            best[end], came[end] = top, link
+                top, size, link = best[end - 1] + unknown, 1, -1
+            best[end], taken[end], came[end] = top, size, link
         out: list[int] = []
         end = n
         while end:
-            start, ident = came[end]
+            start, ident = end - taken[end], came[end]
             if ident >= 0:
                 out.append(ident)
             else:
                 out += [self.v.byte_ids[b] for b in reversed(word[start:end].encode("utf-8", "surrogatepass"))]
             end = start
-        return tuple(reversed(out))
+        out.reverse()
+        return tuple(out)
 
 
 class Coder:
@@ -151,7 +160,9 @@ class Coder:
         if not text:
             return []
         memo, out = self.memo, []
-        for word in WORD.findall(" " + text):
+        text = " " + text
+        # Of very long texts one word at a time.
+        for word in WORD.findall(text) if len(text) < PIECE else (m[0] for m in WORD.finditer(text)):
             ids = memo.get(word)
             if ids is None:
                 ids = self._word(word)

@@ -156,6 +156,16 @@ def test_viterbi_against_all_segmentations():
         assert "".join(vocabulary.pieces[i] for i in ids) == word
 
 
+def test_long_words_and_texts_are_coded_like_short_ones(monkeypatch):
+    coder = pieces.Coder(pieces.load())
+    texts = ["thequickbrownfox" * 3, LONG[:5000], "▁é  x\U0001f600"]
+    want = [coder.encode(t) for t in texts]
+    monkeypatch.setattr(pieces, "MEMO_CHARS", 2)
+    monkeypatch.setattr(pieces, "PIECE", 4)
+    coder = pieces.Coder(coder.automaton.v)
+    assert [coder.encode(t) for t in texts] == want
+
+
 def test_decoding_gives_texts_back(spark, docs):
     coded = pieces.encode(docs.select("doc_id", "text"), ["doc_id", "text"])
     rows = coded.collect()
@@ -181,6 +191,13 @@ def test_top_k_edges(spark):
     assert maxscore.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_of_huge_components(spark):
+    rows = [(0, [1e300, 1.0]), (1, [1e300, 0.0]), (2, [-1e300, 0.0]), (3, [0.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [(r["vec_id"], r["score"]) for r in maxscore.top_k(frame).orderBy("rank").collect()]
+    assert found == [(1, (1 << 63) - 1), (3, 2 * 1024 * 1024), (2, -(1 << 63))]
+
+
 def test_top_k_against_brute_force(spark):
     draw = np.random.default_rng(5)
     for data in (draw.normal(size=(700, 12)), np.round(draw.normal(size=(300, 3)), 1), draw.normal(size=(60, 4)) * 1e9):
@@ -251,7 +268,7 @@ def test_toxicity_on_held_out(spark):
     docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
     rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").filter("held_out").collect()
     right = sum(r["predicted"] and r["toxic"] for r in rows)
-    assert right >= 0.95 * sum(r["predicted"] for r in rows) and right >= 0.75 * sum(r["toxic"] for r in rows)
+    assert right >= 0.95 * sum(r["predicted"] for r in rows) and right >= 0.85 * sum(r["toxic"] for r in rows)
 
 
 def test_toxicity_learns_pairs():
@@ -263,6 +280,15 @@ def test_toxicity_learns_pairs():
     assert machine.score([0, 1]) > 0.7 > 0.3 > max(machine.score([0]), machine.score([1]), machine.score([]))
 
 
+def test_frequent_words_are_terms_of_their_own():
+    look = toxicity.Lookup(None)
+    plain = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300))
+    rare, often = set(look.of(f"{plain} badge badger")), set(look.of("badge badger now"))
+    frequent = set(toxicity.terms("badg")[1])
+    assert frequent <= often | {toxicity.terms("badg")[1][0]} and not frequent & rare
+    assert toxicity.words("One one, TWO") == {"one": 2, "two": 1}
+
+
 def test_toxicity_edges(spark, docs):
     labels = spark.createDataFrame([(1, 0), (6, 1), (None, 1), (4, None)], "doc_id long, toxic int")
     rows = toxicity.toxicity(docs, labels).collect()
