@@ -58,7 +58,7 @@ from pulselake.plans.oracle import (
 )
 from pulselake.schemas import ANOMALIES, SILVER, SUMMARY, TELEMETRY
 from pulselake.session import prepare, scratch_path
-from pulselake.sinks.archive import with_hour_parts, write_archive
+from pulselake.sinks.archive import dead_letter_path, with_hour_parts, write_archive
 from pulselake.sinks.dead_letter import split_dead_letters
 from pulselake.sinks.measures import ensure_table, write_measures
 from pulselake.sinks.relational import collapse, relational_rows
@@ -245,15 +245,24 @@ def a6(spark, sf):
 
 HOUR_FOLDERS = """SELECT CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month,
   CAST(day(event_timestamp) AS INTEGER) AS day, CAST(hour(event_timestamp) AS INTEGER) AS hour, COUNT(*) AS events
-FROM bronze WHERE event_timestamp IS NOT NULL GROUP BY 1, 2, 3, 4"""
+FROM bronze GROUP BY 1, 2, 3, 4"""
+
+
+def _archived_events(spark, path):
+    """Events per hour folder; those in the dead letters have no hour."""
+    parts = ["year", "month", "day", "hour"]
+    archived = read_archive(spark, path).select(*parts)
+    unplaced = spark.read.parquet(dead_letter_path(path)).select(
+        *(F.lit(None).cast("int").alias(part) for part in parts)
+    )
+    return archived.unionByName(unplaced).groupBy(*parts).agg(F.count("*").alias("events"))
 
 
 @query("b1_hourly_archive", HOUR_FOLDERS)
 def b1(spark, sf):
     path = scratch_path(spark, "archive")
     write_archive(published(readings_of(spark, sf)), path)
-    hours = read_archive(spark, path).groupBy("year", "month", "day", "hour")
-    return hours.agg(F.count("*").alias("events"))
+    return _archived_events(spark, path)
 
 
 RELATIONAL_FIELDS = f"{DEVICE_LIST}, event_timestamp"
@@ -776,9 +785,8 @@ def f1(spark, sf):
 
 @query(
     "f2_latest_per_device",
-    """SELECT s.device_id, s.event_timestamp, s.temperature, s.battery FROM silver AS s
-JOIN (SELECT device_id, MAX(event_timestamp) AS newest FROM silver GROUP BY device_id) AS m
-  ON s.device_id = m.device_id AND s.event_timestamp = m.newest""",
+    """SELECT device_id, MAX(event_timestamp) AS event_timestamp, ARG_MAX(temperature, event_timestamp) AS temperature,
+  ARG_MAX(battery, event_timestamp) AS battery FROM silver GROUP BY device_id""",
 )
 def f2(spark, sf):
     return serving.latest_readings(
@@ -1050,10 +1058,11 @@ def i6(spark, sf):
 
 @query(
     "i7_latest_positions",
-    f"""SELECT s.device_id, s.region, s.latitude, s.longitude, s.temperature, s.battery, s.signal_strength, s.is_online
-FROM silver AS s JOIN (SELECT device_id, MAX(event_timestamp) AS newest FROM silver GROUP BY device_id) AS m
-  ON s.device_id = m.device_id AND s.event_timestamp = m.newest
-WHERE s.event_timestamp >= {SERVED} - INTERVAL '2' HOUR ORDER BY s.device_id LIMIT 200""",
+    f"""SELECT device_id, newest.region, newest.latitude, newest.longitude, newest.temperature, newest.battery, newest.signal_strength, newest.is_online
+FROM (SELECT device_id, ARG_MAX({{'region': region, 'latitude': latitude, 'longitude': longitude, 'temperature': temperature,
+    'battery': battery, 'signal_strength': signal_strength, 'is_online': is_online}}, event_timestamp) AS newest
+  FROM silver GROUP BY device_id HAVING MAX(event_timestamp) >= {SERVED} - INTERVAL '2' HOUR)
+ORDER BY device_id LIMIT 200""",
 )
 def i7(spark, sf):
     return serving.latest_positions(silver_of(spark, sf), SERVED_AT, limit=200)
@@ -1759,9 +1768,8 @@ def o11_archive(spark, sf):
     source, target = scratch_path(spark, "published"), scratch_path(spark, "archive")
     published(readings_of(spark, sf)).write.parquet(source)
     stream = spark.readStream.schema(TELEMETRY).parquet(source)
-    drained(jobs.start_archive(stream, target, scratch_path(spark, "checkpoint")))
-    hours = read_archive(spark, target).groupBy("year", "month", "day", "hour")
-    return hours.agg(F.count("*").alias("events"))
+    drained(*jobs.start_archive(stream, target, scratch_path(spark, "checkpoint")))
+    return _archived_events(spark, target)
 
 
 @query(

@@ -40,7 +40,7 @@ from pulselake.operators.upsert import upsert
 from pulselake.plans.medallion import Lake, load_silver
 from pulselake.schemas import ANOMALIES, RAW
 from pulselake.session import stage
-from pulselake.sinks.archive import RECORDS_PER_FILE, with_hour_parts
+from pulselake.sinks.archive import RECORDS_PER_FILE, dead_letter_path, split_hours
 from pulselake.sinks.dead_letter import split_dead_letters
 from pulselake.sources.archive import PARTS
 from pulselake.sources.tables import read_table
@@ -310,20 +310,29 @@ def spike_step(
 
 
 def start_archive(
-    events: DataFrame, target: str, checkpoint: str, trigger: Trigger = ONCE
-) -> StreamingQuery:
-    """Hourly JSON archive of published events."""
-    placed = with_hour_parts(events).where(F.col("year").isNotNull())
-    return start_append(
+    events: DataFrame,
+    target: str,
+    checkpoint: str,
+    trigger: Trigger = ONCE,
+    dead_letters: str | None = None,
+    as_of: datetime | str | None = None,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Hourly JSON archive of published events, and dead letters of those without a readable time."""
+    placed, unplaced = split_hours(events, as_of=as_of)
+    archive = start_append(
         placed,
         target,
-        checkpoint,
+        f"{checkpoint}/archive",
         trigger,
         PARTS,
         "json",
         maxRecordsPerFile=RECORDS_PER_FILE,
         compression="snappy",
     )
+    letters = start_append(
+        unplaced, dead_letters or dead_letter_path(target), f"{checkpoint}/dead-letters", trigger
+    )
+    return archive, letters
 
 
 def start_dead_letters(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pulselake.operators import checks
 from pulselake.operators.measures import TELEMETRY_MEASURES, telemetry_measures
 from pulselake.operators.registry import refresh_registry, seed_registry
-from pulselake.sinks.archive import write_archive
+from pulselake.sinks.archive import dead_letter_path, write_archive
 from pulselake.sinks.dead_letter import split_dead_letters
 from pulselake.sinks.measures import ensure_table, write_measures
 from pulselake.sinks.relational import collapse, relational_rows
@@ -55,6 +55,20 @@ def test_archive_round_trip_and_pruning(spark, tmp_path):
     assert "make_timestamp" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
+def test_archive_and_its_dead_letters_hold_every_event(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    events = published(telemetry(spark, SF)).where("device_id = 'device_0013' AND timestamp LIKE '2024-%'")
+    broken = events.withColumn("timestamp", F.lit("yesterday")).unionByName(
+        events.withColumn("timestamp", F.lit(None).cast("string"))
+    )
+    write_archive(events.unionByName(broken), path)
+    n = events.count()
+    letters = spark.read.parquet(dead_letter_path(path)).collect()
+    assert len(letters) == 2 * n and {r["error"] for r in letters} == {"No readable event time"}
+    assert all('"device_id"' in r["original_payload"] for r in letters)
+    assert read_archive(spark, path).count() == n
+
+
 def test_measures_are_counted_and_rejected(spark, tmp_path):
     path = str(tmp_path / "measures")
     frame = spark.createDataFrame(
