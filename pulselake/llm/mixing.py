@@ -64,23 +64,23 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
     )
     ranked = stage(ranked, "sources-ranked")
     cap = F.col("source_size") * MOST_REPEATS
-    total, open_weight = ranked.agg(
-        F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))
-    ).first()
-    capped_words = 0
+    all_weight = F.coalesce(F.sum("weight"), F.lit(0))
+    total, open_weight = ranked.agg(F.coalesce(F.sum("source_size"), F.lit(0)), all_weight).first()
+    capped_words = capped_sources = 0
     while True:
         left, among = total - capped_words, max(open_weight, 1)
         wide = "decimal(38,0)"
         full = F.lit(left).cast(wide) * F.col("weight").cast("decimal(9,0)") >= cap.cast("decimal(20,0)") * F.lit(
             among
         ).cast("decimal(18,0)")
-        words, weight = ranked.filter(full).agg(
-            F.coalesce(F.sum(cap), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))
+        words, weight, sources = ranked.filter(full).agg(
+            F.coalesce(F.sum(cap), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0)), F.count(F.lit(1))
         ).first()
-        if words == capped_words:
+        # The number of sources, not their words: one without words is capped and leaves its weight to the others.
+        if sources == capped_sources:
             break
-        all_weight = ranked.agg(F.sum("weight")).first()[0]
-        capped_words, open_weight = words, all_weight - weight
+        capped_words, capped_sources = words, sources
+        open_weight = ranked.agg(all_weight).first()[0] - weight
     target = F.when(full, cap.cast("double")).otherwise(
         F.lit(left).cast("double") * F.col("weight").cast("double") / F.lit(float(among))
     )

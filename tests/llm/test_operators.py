@@ -129,6 +129,18 @@ def test_mix_meets_targets(docs):
     assert sorted(map(repr, rows)) == sorted(map(repr, again))
 
 
+def test_mix_shares_the_weight_of_sources_without_words(spark):
+    for sizes, want in (
+        ((100, 100, 0), (1000 / 7, 400 / 7, 0)),
+        ((0, 0, 100), (0, 0, 100)),
+        ((0, 0, 0), (0, 0, 0)),
+        ((10, 100, 0), (30, 80, 0)),
+    ):
+        frame = spark.createDataFrame(list(zip("abc", sizes)), "source string, size long")
+        got = [r["target"] for r in mixing.targets(frame).orderBy("source").collect()]
+        assert got == pytest.approx(want)
+
+
 def test_schedule_keeps_prefixes_near_the_targets(spark):
     sizes = spark.createDataFrame([(s, 100_000) for s in "abc"], "source string, size long")
     goals = mixing.targets(sizes)
