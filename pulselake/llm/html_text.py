@@ -4,6 +4,8 @@ Every page scores its containers by the text that stands in them and names the b
 generalised path: the tags from the root down, each with its classes, digits blotted out. Spark
 counts these votes per host. The pages are then read again, and the text is taken from the
 container on the path that won its host, or from the page's own best where it has none there.
+A page votes for the article, main or content container around its best container, so that
+leads, headings and sections beside the longest block come along.
 """
 
 from __future__ import annotations
@@ -52,6 +54,8 @@ NOISE_WORDS = frozenset(
     "disclaimer copyright".split()
 )
 GOOD_WORDS = frozenset("article content main post entry body story text page blog".split())
+#: Those of them that name a whole article; the others also name parts of one or the whole page.
+CONTENT_WORDS = frozenset("article content main post entry story".split())
 #: Factors of a container's score.
 BONUS = {"article": 1.6, "main": 1.4, "body": 0.5, "td": 0.8, "blockquote": 0.5, "center": 0.8}
 
@@ -66,10 +70,13 @@ DIGITS = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "parent", "score", "factor")
+    __slots__ = ("tag", "path", "noise", "parent", "score", "factor", "content")
 
-    def __init__(self, tag: str, path: str, noise: bool, parent: Element | None, factor: float) -> None:
+    def __init__(
+        self, tag: str, path: str, noise: bool, parent: Element | None, factor: float, content: bool = False
+    ) -> None:
         self.tag, self.path, self.noise, self.parent, self.factor = tag, path, noise, parent, factor
+        self.content = content  # an article, main or content container
         self.score = 0.0
 
 
@@ -81,6 +88,7 @@ class Page:
         self.open = [root]
         self.containers = [root]
         self.blocks: list[tuple[Element, str]] = []  # innermost container, text
+        self.block_links: list[int] = []  # of each block, characters in links
         self.parts: list[str] = []
         self.linked = 0
         self.link_chars: list[int] = []
@@ -127,7 +135,9 @@ class Page:
             if text:
                 at = self._container()
                 self.blocks.append((at, text))
-                weight = max(0, len(text) - 2 * sum(self.link_chars))
+                linked = sum(self.link_chars)
+                self.block_links.append(linked)
+                weight = max(0, len(text) - 2 * linked)
                 share = 1.0
                 while at is not None and share > 0.1:
                     at.score += weight * share
@@ -179,7 +189,8 @@ class Page:
             return
         path = f"{above.path}>{tag}{classes}"
         factor = BONUS.get(tag, 1.0) * (1.3 if words & GOOD_WORDS and tag not in ("body", "html") else 1.0)
-        element = Element(tag, path, noise, above, factor)
+        content = tag in ("article", "main") or (tag in CONTAINERS and tag != "body" and bool(words & CONTENT_WORDS))
+        element = Element(tag, path, noise, above, factor, content)
         if tag not in BLOCKS:
             self._end_inline()
         self.open.append(element)
@@ -239,18 +250,41 @@ class Page:
                 top = element
         return top
 
+    def chosen(self) -> Element | None:
+        """The article, main or content container around the best one, or the best one itself.
+
+        An article is as far as it goes, and all its text belongs to it. Another container is
+        taken if what it adds isn't mostly links.
+        """
+        top = self.best()
+        around = top
+        while top is not None and top.tag != "article" and around is not None:
+            around = self._above(around)
+            if around is None or not around.content:
+                continue
+            if around.tag == "article" or self._adds_text(around, top):
+                top = around
+        return top
+
+    def _adds_text(self, outer: Element, inner: Element) -> bool:
+        own, whole = (self._inside({id(e)}) for e in (inner, outer))
+        added = [i for i, (a, b) in enumerate(zip(own, whole)) if b and not a]
+        return 2 * sum(self.block_links[i] for i in added) <= sum(len(self.blocks[i][1]) for i in added)
+
     def text(self, path: str | None) -> str:
-        """Text of the containers on ``path``, or of the best one if there is none."""
+        """Text of the containers on ``path``, or of the page's own choice if there is none."""
         chosen = {id(e) for e in self.containers if e.path == path} if path else set()
         out = self._below(chosen)
         if not out:
-            top = self.best()
+            top = self.chosen()
             out = self._below({id(top)}) if top is not None else [t for _, t in self.blocks]
         return "\n\n".join(out)
 
     def _below(self, chosen: set[int]) -> list[str]:
-        if not chosen:
-            return []
+        return [text for (_, text), found in zip(self.blocks, self._inside(chosen)) if found]
+
+    def _inside(self, chosen: set[int]) -> list[bool]:
+        """Of each block, whether it stands in one of the containers."""
         inside: dict[int, bool] = {}
 
         def within(element: Element | None) -> bool:
@@ -260,7 +294,7 @@ class Page:
                 inside[id(element)] = id(element) in chosen or within(element.parent)
             return inside[id(element)]
 
-        return [text for element, text in self.blocks if within(element)]
+        return [within(element) for element, _ in self.blocks]
 
 
 def host(url_column: str = "url") -> Column:
@@ -273,7 +307,7 @@ def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         tally: dict[tuple[str, str], list] = {}
         for name, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            top = Page(source).best()
+            top = Page(source).chosen()
             if top is not None:
                 votes = tally.setdefault((name, top.path), [0, 0])
                 votes[0] += 1

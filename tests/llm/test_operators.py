@@ -336,6 +336,25 @@ def test_html_consensus_overrules_a_page(spark):
     assert {r["page_id"]: r["text"] for r in html_text.extract(frame).collect()}[9] == "short"
 
 
+def test_html_takes_the_article_around_its_longest_block(spark):
+    lead, body, more = "lead text " * 20, "body text of the page " * 140, "more of it " * 60
+    links = "<a href='#'>elsewhere</a> " * 30
+    shapes = {
+        "nested lead": (f"<article><h1>Head</h1><div class='lead'>{lead}</div><div class='body'>{body}</div></article>", ["Head", lead, body]),
+        "headline in main": (f"<main><h1>Head</h1><div class='content'>{body}</div></main><div class='x'>{more}</div>", ["Head", body]),
+        "sections": (f"<main><section class='a'>{body}</section><section class='b'><h2>Two</h2>{more}</section></main>", [body, "Two", more]),
+        "content container": (f"<div class='post-12'><div class='k1'>{lead}</div><div class='k2'>{body}</div></div><div>{more}</div>", [lead, body]),
+        "deep": (f"<article><h1>Head</h1><div><div><div><div><div><div>{body}</div></div></div></div></div></div></article>", ["Head", body]),
+        "noise": (f"<article><div class='body'>{body}</div><div class='related'>{more}</div></article>", [body]),
+        "links": (f"<main><article><h1>Head</h1><div class='body'>{body}</div></article><div>{links}</div></main>", ["Head", body]),
+        "links in main": (f"<main><div class='k'>{body}</div><div>{links}</div></main>", [body]),
+    }
+    rows = [(i, f"http://{i // 3}.example/", f"<body><div>{shape}</div></body>") for i, (shape, _) in enumerate(s for s in shapes.values() for _ in range(3))]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, (name, (_, want)) in enumerate(shapes.items()):
+        assert {got[3 * k + i] for i in range(3)} == {"\n\n".join(t.strip() for t in want)}, name
+
+
 def test_pipeline_keeps_one_of_each(spark, tmp_path):
     text = " ".join(f"w{i}" for i in range(400))
     rows = [(i, f"plain words of number {i} " * 4, "en", "s", 1) for i in range(1, 25)]
