@@ -11,6 +11,10 @@ stretch is equal. Lines first emit one hash for each stretch left out, and only
 another line go on, with that stretch alone. A second round halves the stretch twice more. Then
 the deletions of what is left are emitted.
 
+For a bound of several edits the lines are divided into one stretch more than that. One of the
+stretches is then untouched and stands in the other line, moved by no more than the bound; lines
+that share one are compared.
+
 Everything here is DataFrame operations.
 """
 
@@ -24,8 +28,8 @@ from pulselake.session import stage
 
 #: Stretches that a line, and then a stretch, is divided into.
 PARTS = 4
-#: Shorter lines are only matched when equal: one edit makes another word of them.
-LEAST_CHARS = 20
+#: The query's rule: characters from which on lines match within ``EDITS``; shorter ones match when equal.
+LEAST_CHARS, EDITS = 20, 1
 BLANK = " \t\r\x0b\x0c"
 
 PLACE = "struct(doc_id is null as none, doc_id as doc_id, line_no as line_no, text_hash as text_hash)"
@@ -66,7 +70,7 @@ def _live(rows: DataFrame) -> DataFrame:
     return dealt.join(met, F.col("key") == F.col("live_key")).drop("live_key")
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
+def distinct_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """h1, h2, the earliest place, and the first round's keys of each distinct line."""
     rows = lines(docs).filter(F.col("line") != "")
     named = []
@@ -74,7 +78,7 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
         for part in range(PARTS):
             base = (F.char_length("line") - role).cast("long")
             key, _ = _without(base, F.col("line"), F.lit(role), F.lit(part))
-            named.append(F.when(F.char_length("line") >= LEAST_CHARS, key).alias(f"k{role}{part}"))
+            named.append(F.when(F.char_length("line") >= least_chars, key).alias(f"k{role}{part}"))
     keyed = rows.select("h1", "h2", "place", *named)
     firsts = [F.first(f"k{r}{p}").alias(f"k{r}{p}") for r in (0, 1) for p in range(PARTS)]
     return keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), *firsts)
@@ -152,21 +156,62 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return checked.groupBy(F.col("l1").alias("h1"), F.col("l2").alias("h2")).agg(F.min("early.place").alias("first"))
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
+def links_within(docs: DataFrame, edits: int, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """h1, h2, first as ``links``, for lines within ``edits`` edits.
+
+    Lines that share a stretch are compared each with each.
+    """
+    rows = lines(docs).filter((F.col("line") != "") & (F.char_length("line") >= least_chars))
+    known = rows.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("line").alias("line"))
+    known = stage(known.withColumn("n", F.char_length("line")), "lines-known")
+    parts = edits + 1
+    start, stop = (f"cast(floor(n * cast({part} as bigint) / {parts}) as int)" for part in ("part", "(part + 1)"))
+    dealt = known.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(edits))))
+    dealt = dealt.select("h1", "h2", "n", "part", F.expr(f"substring(line, {start} + 1, {stop} - {start})").alias("piece"))
+    held = dealt.select(F.struct("h1", "h2").alias("one"), F.xxhash64("n", "part", "piece").alias("key"))
+    # The same stretches of every length that a shorter partner can have, moved by up to ``edits``.
+    tried = (
+        known.withColumnRenamed("n", "own")
+        .withColumn("n", F.explode(F.sequence(F.greatest(F.col("own") - edits, F.lit(1)), F.col("own"))))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(edits))))
+        .withColumn("start", F.expr(start))
+        .withColumn("size", F.expr(f"{stop} - start"))
+        .withColumn("at", F.explode(F.sequence(F.col("start") - edits, F.col("start") + edits)))
+        .filter("at >= 0 and at + size <= own")
+        .select("h1", "h2", "n", "part", F.expr("substring(line, at + 1, size)").alias("piece"))
+    )
+    tried = tried.select(F.struct("h1", "h2").alias("two"), F.xxhash64("n", "part", "piece").alias("t_key")).distinct()
+    pairs = held.join(tried, (F.col("key") == F.col("t_key")) & (F.col("one") != F.col("two"))).select("one", "two").distinct()
+    ones = known.select(F.struct("h1", "h2").alias("o"), F.col("place").alias("o_place"), F.col("line").alias("o_line"))
+    twos = known.select(F.struct("h1", "h2").alias("t"), F.col("place").alias("t_place"), F.col("line").alias("t_line"))
+    near = (
+        pairs.join(ones, F.col("one") == F.col("o"))
+        .join(twos, F.col("two") == F.col("t"))
+        .filter(F.levenshtein("o_line", "t_line", edits).between(1, edits))
+    )
+    swap = F.col("t_place") < F.col("o_place")
+    late = near.select(
+        F.when(swap, F.col("one")).otherwise(F.col("two")).alias("late"), F.least("o_place", "t_place").alias("early")
+    )
+    return late.groupBy(F.col("late.h1").alias("h1"), F.col("late.h2").alias("h2")).agg(F.min("early").alias("first"))
+
+
+def line_dedup(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """One row per line: doc_id, line_no, kept, first_doc_id, first_line_no.
 
     Lines end at \\n and are compared without blanks at their ends. A line gives way when an
-    equal line, or one within one edit, stands earlier in the order of doc_id (null last) and
+    equal line, or one within ``edits`` edits, stands earlier in the order of doc_id (null last) and
     line number; ``first`` is the earliest such place, or the line's own if it is kept. A line
     that gives way can still be the one that a third line gives way to. Lines of under
-    ``LEAST_CHARS`` characters only give way to equal ones; blank lines are kept. A null text
+    ``least_chars`` characters only give way to equal ones (1: no line is too short); blank lines are kept. A null text
     has no line, an empty one a blank line. A repeated row stands at the same place as the
     first and is kept with it; documents that share an id but not a text are ordered by a hash
     of the text. An empty table gives no rows; other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    distinct = stage(distinct_lines(docs), "lines-distinct")
-    near = links(docs, distinct).select(F.col("h1").alias("n1"), F.col("h2").alias("n2"), "first")
+    distinct = stage(distinct_lines(docs, least_chars), "lines-distinct")
+    found = links(docs, distinct) if edits == 1 else links_within(docs, edits, least_chars)
+    near = found.select(F.col("h1").alias("n1"), F.col("h2").alias("n2"), "first")
     near = stage(near, "lines-near")
     asked = maybe_in(distinct.select("h1", "h2", "place"), "h1", key_filter(near, "n1"))
     own = [F.col("h1").alias("d1"), F.col("h2").alias("d2")]

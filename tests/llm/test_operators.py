@@ -264,6 +264,37 @@ def test_line_dedup_within_one_edit(spark):
     }
 
 
+@pytest.mark.parametrize("edits", [0, 1, 2, 3])
+def test_line_dedup_of_any_length_and_bound_against_brute_force(spark, edits):
+    draw = np.random.default_rng(edits)
+    typed = "the quick brown fox " * 30
+    texts = ["a", "b", "ab", "abc", "short one", "short ono", "short", "é\U0001f600x", typed, typed[:99] + "X" + typed[100:300] + typed[301:], typed[:-3]]
+    for length in (1, 2, 3, 5, 8, 13, 40):
+        for _ in range(6):
+            base = "".join(draw.choice(list("abcd"), length))
+            texts.append(base)
+            for _ in range(4):
+                at, kind = int(draw.integers(0, len(base) + 1)), int(draw.integers(0, 3))
+                base = base[:at] + ("" if kind == 0 else "e") + base[at + (kind != 1) :]
+                texts.append(base)
+    texts = [t.strip() for t in texts]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    near = lambda a, b: a == b or (abs(len(a) - len(b)) <= edits and distance(a, b) <= edits)
+    want = {i: next(j for j in range(i + 1) if j == i or (t and texts[j] and near(texts[j], t))) for i, t in enumerate(texts)}
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = line_dedup.line_dedup(frame, edits, 1).collect()
+    assert {r["doc_id"]: r["first_doc_id"] for r in rows} == want
+    assert all(r["kept"] == (want[r["doc_id"]] == r["doc_id"]) for r in rows)
+
+
 def test_language_accuracy_on_held_out(spark):
     docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
     rows = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
