@@ -1629,6 +1629,27 @@ def _run_updates(spark, stream: DataFrame, keys: list[str], time: str, label: st
     return spark.read.schema(dated.schema).parquet(target).drop("event_date")
 
 
+def _run_gold(
+    spark, sf, aggregate: Callable[[DataFrame], DataFrame], label: str, sort_by: list[str] | None = None
+) -> DataFrame:
+    """A Gold table kept up by batches of raw files in any order."""
+    lake, target = Lake(scratch_path(spark, "lake")), scratch_path(spark, label)
+    drained(
+        jobs.start_silver(
+            spark,
+            _raw_files(spark, sf),
+            lake,
+            scratch_path(spark, "checkpoint"),
+            cfg=CFG,
+            as_of=AS_OF,
+            max_files=half(spark),
+            then=[jobs.gold_step(lake, target, aggregate, sort_by)],
+        )
+    )
+    schema = aggregate(lake.read_silver(spark)).schema
+    return spark.read.schema(schema).parquet(target)
+
+
 @query("o1_bronze_stream", f"SELECT {OFFSETS}, {DEVICE_LIST}, event_timestamp FROM bronze")
 def o1(spark, sf):
     target = scratch_path(spark, "bronze")
@@ -1668,8 +1689,10 @@ def o2(spark, sf):
 FROM silver GROUP BY 1, 2""",
 )
 def o3(spark, sf):
-    stream = aggregates.five_minute_temperature(_silver_stream(spark, sf), WHOLE_SPAN)
-    return _run_updates(spark, stream, ["time_bin", "device_id"], "time_bin", "five-minute")
+    def windows(silver: DataFrame) -> DataFrame:
+        return aggregates.five_minute_temperature(silver).withColumn("event_date", F.to_date("time_bin"))
+
+    return _run_gold(spark, sf, windows, "five-minute").drop("event_date")
 
 
 @query(
@@ -1678,17 +1701,16 @@ def o3(spark, sf):
   MAX(temperature) AS max_temp, MIN(temperature) AS min_temp FROM silver GROUP BY 1, 2""",
 )
 def o4(spark, sf):
-    stream = aggregates.hourly_trend(_silver_stream(spark, sf), WHOLE_SPAN)
-    return _run_updates(spark, stream, ["hour", "region"], "hour", "hourly")
+    def trend(silver: DataFrame) -> DataFrame:
+        return aggregates.hourly_trend(silver).withColumn("event_date", F.to_date("hour"))
+
+    return _run_gold(spark, sf, trend, "hourly").drop("event_date")
 
 
 @query("o5_summary_stream", "SELECT * FROM summary")
 def o5(spark, sf):
-    target, checkpoint = scratch_path(spark, "summary"), scratch_path(spark, "checkpoint")
-    drained(
-        jobs.start_summary(_silver_stream(spark, sf), target, checkpoint, lateness=WHOLE_SPAN)
-    )
-    return spark.read.schema(SUMMARY).parquet(target)
+    summary = _run_gold(spark, sf, lambda silver: device_summary(silver, cfg=CFG), "summary", ["region"])
+    return summary.select(*SUMMARY.fieldNames())
 
 
 @query("o6_rapid_change_stream", f"{ANOMALY_SQL} WHERE anomaly_type = 'RAPID_TEMP_CHANGE'")

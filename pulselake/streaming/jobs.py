@@ -42,6 +42,7 @@ from pulselake.schemas import ANOMALIES, RAW
 from pulselake.session import stage
 from pulselake.sinks.archive import RECORDS_PER_FILE, dead_letter_path, split_hours
 from pulselake.sinks.dead_letter import split_dead_letters
+from pulselake.sinks.tables import write_partitioned
 from pulselake.sources.archive import PARTS
 from pulselake.sources.tables import read_table
 from pulselake.sources.topics import read_envelope, to_raw
@@ -309,6 +310,28 @@ def spike_step(
     return step
 
 
+def gold_step(
+    lake: Lake,
+    target: str,
+    aggregate: Callable[[DataFrame], DataFrame],
+    sort_by: list[str] | None = None,
+) -> BatchHook:
+    """Step after ``start_silver``: the dates a batch touches are aggregated again from Silver.
+
+    ``aggregate`` gives rows with ``event_date`` that need readings of that date only. No
+    watermark: a reading counts however late it comes, and a corrected one in its new group only.
+    """
+
+    def step(valid: DataFrame, batch_id: int) -> None:
+        silver = lake.read_silver(valid.sparkSession)
+        dates = valid.select("event_date").distinct()
+        # Pruned at run time: only dates that the batch touches are opened.
+        touched = silver.join(dates, "event_date", "left_semi").select(*silver.columns)
+        write_partitioned(aggregate(touched), target, "event_date", sort_by, only_touched=True)
+
+    return step
+
+
 def start_archive(
     events: DataFrame,
     target: str,

@@ -129,6 +129,27 @@ def test_summary_stream_equals_batch(spark, parts, tmp_path):
     assert same(spark.read.schema(SUMMARY).parquet(target), device_summary(clean))
 
 
+def test_gold_steps_lose_no_late_row(spark, parts, tmp_path):
+    """Newest first, so that every later batch lies weeks behind the one before it."""
+    raw, lake = str(tmp_path / "raw"), Lake(str(tmp_path / "lake"))
+    trend, summary = str(tmp_path / "trend"), str(tmp_path / "summary")
+
+    def hourly(frame):
+        return aggregates.hourly_trend(frame).withColumn("event_date", F.to_date("hour"))
+
+    old = parts[0].withColumn(
+        "payload", F.regexp_replace("payload", "2024-01-", "2023-06-")
+    ) if "payload" in parts[0].columns else parts[0]
+    for part in (parts[2], old, parts[1]):
+        arrive(part, raw)
+        steps = [jobs.gold_step(lake, trend, hourly), jobs.gold_step(lake, summary, device_summary, ["region"])]
+        jobs.start_silver(spark, raw, lake, str(tmp_path / "checkpoint"), as_of=AS_OF, then=steps).awaitTermination()
+    clean = silver(bronze(spark.read.parquet(raw)), as_of=AS_OF)
+    assert same(spark.read.schema(SUMMARY).parquet(summary), device_summary(clean))
+    want = hourly(clean)
+    assert same(spark.read.schema(want.schema).parquet(trend), want)
+
+
 def test_alert_streams(spark, tmp_path):
     source = tmp_path / "source"
     arrive(readings(spark, "10:00:00", battery=5.0, is_online=False), source)
