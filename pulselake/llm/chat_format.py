@@ -73,14 +73,17 @@ def unescape_role(role: Column) -> Column:
 
 
 def _walk(turns: Column, template: Template) -> Column:
-    """struct(state, bad_turn, seen): the machine after the last turn; state is null once it has stopped."""
+    """struct(state, bad_turn, seen): the machine after the last turn.
+
+    Once it has stopped the state is SEP, and ``bad_turn`` the turn that stopped it; till then that is -1.
+    """
     names = [F.lit(f"{state}{SEP}{role}") for state, role in template.moves]
     moves = F.map_from_arrays(F.array(*names), F.array(*[F.lit(s) for s in template.moves.values()]))
-    begin = F.struct(F.lit(template.start).alias("state"), F.lit(None).cast("int").alias("bad_turn"), F.lit(0).alias("seen"))
+    begin = F.struct(F.lit(template.start).alias("state"), F.lit(-1).alias("bad_turn"), F.lit(0).alias("seen"))
 
     def step(at: Column, turn: Column) -> Column:
-        state = F.try_element_at(moves, F.concat(at["state"], F.lit(SEP), turn["role"]))
-        bad = F.coalesce(at["bad_turn"], F.when(state.isNull(), at["seen"]))
+        state = F.coalesce(F.try_element_at(moves, F.concat(at["state"], F.lit(SEP), turn["role"])), F.lit(SEP))
+        bad = F.when((at["bad_turn"] < 0) & (state == SEP), at["seen"]).otherwise(at["bad_turn"])
         return F.struct(state.alias("state"), bad.alias("bad_turn"), (at["seen"] + 1).alias("seen"))
 
     return F.aggregate(turns, begin, step)
@@ -129,9 +132,9 @@ def format_chats(conversations: DataFrame, template: Template = CHATML) -> DataF
         "conv_id",
         "segments",
         F.array_join(F.col("segments.text"), "").alias("formatted"),
-        F.col("walk.bad_turn").isNull().alias("valid"),
-        F.coalesce(F.col("walk.state").isin(*template.final), F.lit(False)).alias("complete"),
-        F.col("walk.bad_turn").alias("bad_turn"),
+        (F.col("walk.bad_turn") < 0).alias("valid"),
+        F.col("walk.state").isin(*template.final).alias("complete"),
+        F.nullif(F.col("walk.bad_turn"), F.lit(-1)).alias("bad_turn"),
     )
 
 

@@ -38,6 +38,8 @@ FAMILY, HEADS = 20, 4
 DIGEST = 16
 #: Conversations of a block: as many as keep all cores busy, within these bounds. Result-neutral.
 LEAST_BLOCK, MOST_BLOCK = 4_000, 200_000
+#: Turns of a block, on average at most. Result-neutral.
+BLOCK_TURNS = 2_000_000
 
 NODE_SCHEMA = (
     "conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, "
@@ -329,7 +331,7 @@ class Block:
             before = np.array([folded[o, d]["conv_id"] for d, o in enumerate(owners)], np.int64)
             parent[self.parent_before] = before[self.depth[self.parent_before] - 1]
         columns = [conv, self.depth, pa.array(parent, mask=self.depth == 0), count, children, leaves, saved]
-        return pa.table([*map(pa.array, columns), pa.array(ends)], names=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
+        return pa.table([*map(pa.array, columns), pa.array(ends, pa.string())], names=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,20 +398,21 @@ def prefix_trie(conversations: DataFrame, block_rows: int | None = None) -> Data
     spark = conversations.sparkSession
     bounded_batches(spark)
     seqs = stage(sequences(conversations), "trie-sequences")
-    n = seqs.count()
+    n, turns = seqs.agg(F.count("*"), F.sum(F.size("words"))).first()
     if n == 0:
         return spark.createDataFrame([], NODE_SCHEMA)
     each = block_rows or min(MOST_BLOCK, max(LEAST_BLOCK, n // (4 * spark.sparkContext.defaultParallelism)))
-    blocks = stage(sorted_blocks(seqs, -(-n // each)), "trie-blocks")
+    parts = max(-(-n // each), -(-turns // BLOCK_TURNS))
+    blocks = stage(sorted_blocks(seqs, parts), "trie-blocks")
     edges = _edges(blocks)
     rows = blocks.select("block", "place", "conv_id", "words", "lcp")
 
     def parts_of(table: pa.Table) -> pa.Table:
         return pa.Table.from_pylist(list(Block(table, edges).parts(edges)), _arrow(PART_SCHEMA))
 
-    parts = stage(rows.groupBy("block").applyInArrow(parts_of, PART_SCHEMA), "trie-parts")
-    folded = parts.repartition("owner", "depth").sortWithinPartitions("owner", "depth", "block").mapInArrow(_fold, FOLDED_SCHEMA)
-    told = stage(parts.select("owner", "depth", "block").join(folded, ["owner", "depth"]), "trie-folded")
+    shares = stage(rows.groupBy("block").applyInArrow(parts_of, PART_SCHEMA), "trie-parts")
+    folded = shares.repartition("owner", "depth").sortWithinPartitions("owner", "depth", "block").mapInArrow(_fold, FOLDED_SCHEMA)
+    told = stage(shares.select("owner", "depth", "block").join(folded, ["owner", "depth"]), "trie-folded")
 
     def nodes_of(table: pa.Table, across: pa.Table) -> pa.Table:
         found = {(r["owner"], r["depth"]): r for r in across.to_pylist()}

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from pulselake.llm import (
+    chat_format,
     exact_dedup,
+    fill_middle,
     html_text,
     language,
     line_dedup,
     maxscore,
     mixing,
     pieces,
+    prefix_trie,
     sharding,
     simhash,
     toxicity,
@@ -42,5 +45,8 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": _on("documents", line_dedup.line_dedup),
     "op9_language_id": _on("documents", language.identify),
     "op10_simhash": _on("documents", simhash.near_duplicates),
+    "op11_chat_format": _on("conversations", chat_format.chat_digests),
+    "op12_prefix_trie": _on("conversations", prefix_trie.prefix_trie),
+    "op13_fill_middle": _on("documents", fill_middle.fill_middle_digests),
     "pipeline": corpus_pipeline.run,
 }

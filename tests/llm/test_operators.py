@@ -408,7 +408,7 @@ def test_pipeline_keeps_one_of_each(spark, tmp_path):
 @pytest.mark.parametrize("name", queries.ORACLES)
 def test_against_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     want = db.execute(queries.ORACLES[name])
     names = [d[0] for d in want.description]
