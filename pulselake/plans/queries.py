@@ -61,7 +61,7 @@ from pulselake.session import prepare, scratch_path
 from pulselake.sinks.archive import dead_letter_path, with_hour_parts, write_archive
 from pulselake.sinks.dead_letter import split_dead_letters
 from pulselake.sinks.measures import ensure_table, write_measures
-from pulselake.sinks.relational import collapse, relational_rows
+from pulselake.sinks.relational import relational_rows, upsert_relational
 from pulselake.sinks.tables import (
     align_schema,
     expired_partitions,
@@ -274,20 +274,16 @@ RELATIONAL_FIELDS = f"{DEVICE_LIST}, event_timestamp"
   ORDER BY kafka_offset DESC) AS pick FROM bronze) AS ordered WHERE pick = 1 AND event_timestamp IS NOT NULL""",
 )
 def b2(spark, sf):
-    order = [F.desc("kafka_offset")]
-    rows = published(readings_of(spark, sf)).columns
+    order = ["kafka_offset"]
 
     def batch(condition: str) -> DataFrame:
-        source = readings_of(spark, sf).where("event_timestamp IS NOT NULL").where(condition)
-        newest = collapse(source, order)
-        return relational_rows(published(newest).select(*rows), AS_OF).withColumn(
-            "event_date", F.to_date("event_timestamp")
-        )
+        source = readings_of(spark, sf).where(condition)
+        return relational_rows(published(source, *order), AS_OF, order)
 
     path = scratch_path(spark, "relational")
-    upsert(batch("kafka_offset % 2 = 0"), path, READING_KEY, "event_date")
-    upsert(batch("kafka_offset % 2 = 1"), path, READING_KEY, "event_date")
-    return spark.read.parquet(path).drop("event_date", "ingested_at")
+    upsert_relational(batch("kafka_offset % 2 = 0"), path, order)
+    upsert_relational(batch("kafka_offset % 2 = 1"), path, order)
+    return spark.read.parquet(path).drop("event_date", "ingested_at", *order)
 
 
 @query(

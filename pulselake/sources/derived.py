@@ -133,8 +133,11 @@ def change_topic(df: DataFrame) -> DataFrame:
     )
 
 
-def published(df: DataFrame) -> DataFrame:
-    """Telemetry in the device's own schema, with ISO-8601 UTC text as ``timestamp``."""
+def published(df: DataFrame, *carry: str) -> DataFrame:
+    """Telemetry in the device's own schema, with ISO-8601 UTC text as ``timestamp``.
+
+    ``carry`` names columns of the transport to keep, such as the offset.
+    """
     return df.select(
         "device_id",
         "region",
@@ -150,4 +153,5 @@ def published(df: DataFrame) -> DataFrame:
         "signal_strength",
         "is_online",
         "event_type",
+        *carry,
     )

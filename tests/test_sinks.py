@@ -8,7 +8,7 @@ from pulselake.operators.registry import refresh_registry, seed_registry
 from pulselake.sinks.archive import dead_letter_path, write_archive
 from pulselake.sinks.dead_letter import split_dead_letters
 from pulselake.sinks.measures import ensure_table, write_measures
-from pulselake.sinks.relational import collapse, relational_rows
+from pulselake.sinks.relational import collapse, relational_rows, upsert_relational
 from pulselake.sinks.tables import align_schema, rebuild, retention_filter, storage_tier
 from pulselake.schemas import ENVELOPE
 from pulselake.sources.archive import read_archive
@@ -106,6 +106,24 @@ def test_relational_rows(spark):
     assert "timestamp" not in got.columns and "model" not in got.columns
 
 
+def test_older_versions_never_replace_newer_relational_rows(spark, tmp_path):
+    def batch(*versions):
+        made = readings(
+            spark, *({"device_id": d, "event_timestamp": t, "temperature": v, "kafka_offset": o} for d, t, v, o in versions)
+        ).withColumns({"model": F.lit("m"), "firmware_version": F.lit("v")})
+        return relational_rows(published(made, "kafka_offset"), "2024-01-11 00:00:00", ["kafka_offset"])
+
+    day = "2024-01-10 12:00:00"
+    newer = batch(("a", day, 2.0, 20), ("a", day, 1.0, 10), ("b", day, 5.0, 3), ("c", None, 9.0, 4))
+    older = batch(("a", day, 0.0, 15), ("b", day, 6.0, 5), (None, day, 9.0, 30))
+    want = [(None, 9.0, 30), ("a", 2.0, 20), ("b", 6.0, 5)]
+    for name, order in (("one", (newer, older)), ("two", (older, newer)), ("again", (newer, older, newer, older))):
+        path = str(tmp_path / name)
+        for part in order:
+            upsert_relational(part, path, ["kafka_offset"])
+        assert rows(spark.read.parquet(path), "device_id", "temperature", "kafka_offset") == want
+
+
 def test_schema_retention_and_tiers(spark, tmp_path):
     frame = readings(spark, {}, {"event_timestamp": "2024-01-01 00:00:00", "kafka_offset": 2})
     wanted = frame.select("device_id", F.lit(1).alias("new")).schema
