@@ -51,33 +51,95 @@ NOISE_WORDS = frozenset(
     "bottombar cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter "
     "subscribe subscription signup login share sharing social related recommended recommendations comment comments "
     "commentlist disqus reply replies respond discussion pagination pager widget widgets hidden paywall "
-    "disclaimer copyright".split()
+    "disclaimer copyright kommentar kommentare kommentarer leserkommentare commentaire commentaires comentario "
+    "comentarios commenti reacties opinions".split()
 )
+#: Words before a noise word that only tell how a page is laid out, as in ``with-sidebar``.
+LAYOUT_WORDS = frozenset("with has no without".split())
 GOOD_WORDS = frozenset("article content main post entry body story text page blog".split())
 #: Those of them that name a whole article; the others also name parts of one or the whole page.
 CONTENT_WORDS = frozenset("article content main post entry story".split())
+#: What a new block's end of a paragraph, and an end tag, don't reach through; end tags that do.
+PARAGRAPH_STOPS = CONTAINERS | {"th", "li", "button", "table"}
+CLOSE_STOPS = frozenset("article main body table".split())
+CLOSE_THROUGH = CLOSE_STOPS | {"html", "div", "section"}
 #: Factors of a container's score.
 BONUS = {"article": 1.6, "main": 1.4, "body": 0.5, "td": 0.8, "blockquote": 0.5, "center": 0.8}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|"
-    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+TAG = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)")
+TAG_EVENT = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/\"'>]+)")
 NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 DIGITS = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "parent", "score", "factor", "content")
+    __slots__ = ("tag", "step", "mark", "noise", "parent", "home", "score", "factor", "content", "chars", "links")
 
     def __init__(
-        self, tag: str, path: str, noise: bool, parent: Element | None, factor: float, content: bool = False
+        self, tag: str, step: str, noise: bool, parent: Element | None, factor: float, content: bool = False
     ) -> None:
-        self.tag, self.path, self.noise, self.parent, self.factor = tag, path, noise, parent, factor
+        self.tag, self.step, self.noise, self.parent, self.factor = tag, step, noise, parent, factor
+        self.mark = path_mark(parent.mark, step) if parent else 0  # stands for the path, in this process
+        self.home = self if parent is None or tag in CONTAINERS else parent.home  # the nearest container
         self.content = content  # an article, main or content container
         self.score = 0.0
+        self.chars = self.links = 0  # of its blocks: characters, and those in links
+
+    @property
+    def above(self) -> Element | None:
+        """The container around this one."""
+        return self.parent.home if self.parent else None
+
+    @property
+    def path(self) -> str:
+        steps, at = [], self
+        while at is not None:
+            steps.append(at.step)
+            at = at.parent
+        return ">".join(reversed(steps))
+
+
+def path_mark(above: int, step: str) -> int:
+    return hash((above, step))
+
+
+class Tags:
+    """Finds where tags end, in time that grows with the page however many tags are left open."""
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.last = {quote: source.rfind(quote) for quote in "\"'"}
+        self.event = self.close = (0, 0)  # the stretch known to hold none, and the next one
+        self.hopeless: set[int] = set()  # opening quotes from which no end is found
+
+    def _event(self, at: int) -> int:
+        if not self.event[0] <= at <= self.event[1]:
+            m = TAG_EVENT.search(self.source, at)
+            self.event = (at, m.start() if m else len(self.source))
+        return self.event[1]
+
+    def _close(self, at: int) -> int:
+        if not self.close[0] <= at <= self.close[1]:
+            found = self.source.find(">", at)
+            self.close = (at, found if found >= 0 else len(self.source))
+        return self.close[1]
+
+    def end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag; past the page's end if there is none.
+
+        Quotes are skipped. If a quote is never closed, or no ``>`` follows, the next ``>`` counts.
+        """
+        start, met = at, []
+        while True:
+            at = self._event(at)
+            if at < len(self.source) and self.source[at] == ">":
+                return at
+            if at == len(self.source) or at in self.hopeless or self.last[self.source[at]] == at:
+                self.hopeless.update(met)
+                return self._close(start)
+            met.append(at)
+            at = self.source.index(self.source[at], at + 1) + 1
 
 
 class Page:
@@ -86,9 +148,9 @@ class Page:
     def __init__(self, source: str) -> None:
         root = Element("", "", False, None, 0.4)
         self.open = [root]
+        self.places: dict[str, list[int]] = {}  # where in ``open`` elements of a tag stand
         self.containers = [root]
         self.blocks: list[tuple[Element, str]] = []  # innermost container, text
-        self.block_links: list[int] = []  # of each block, characters in links
         self.parts: list[str] = []
         self.linked = 0
         self.link_chars: list[int] = []
@@ -96,30 +158,48 @@ class Page:
         self._end_block()
 
     def _read(self, source: str) -> None:
-        at = 0
         n = len(source)
-        while at < n:
-            m = TOKEN.search(source, at)
-            if m is None:
-                self._text(source[at:])
-                return
-            if m.start() > at:
-                self._text(source[at : m.start()])
-            at = m.end()
-            tag = m["tag"]
-            if tag is None:
-                if m["cdata"]:
-                    self.parts.append(m["cdata"])
+        tags = Tags(source)
+        told = at = 0  # all before ``told`` has been read
+        while (at := source.find("<", at)) >= 0:
+            if source.startswith("<!--", at):
+                end = source.find("-->", at + 4)
+                end = n if end < 0 else end + 3
+                name = data = None
+            elif source.startswith("<![CDATA[", at):
+                stop = source.find("]]>", at + 9)
+                name, data = None, source[at + 9 : n if stop < 0 else stop]
+                end = n if stop < 0 else stop + 3
+            elif source.startswith(("<!", "<?"), at):
+                end = source.find(">", at)
+                end = n if end < 0 else end + 1
+                name = data = None
+            else:
+                name = TAG.match(source, at)
+                end = tags.end(name.end()) + 1 if name else n + 1
+                if end > n:  # no tag: the sign is text
+                    at += 1
+                    continue
+            if at > told:
+                self._text(source[told:at])
+            told = at = end
+            if name is None:
+                if data:
+                    self.parts.append(data)
                 continue
-            tag = tag.lower()
-            if m["end"]:
+            tag = name["tag"].lower()
+            if name["end"]:
                 self._close(tag)
                 continue
-            self._start(tag, m["attrs"] or "")
-            if tag in RAW and not (m["attrs"] or "").endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(source, at)
-                at = stop.end() if stop else n
+            attrs = source[name.end() : end - 1]
+            self._start(tag, attrs)
+            if tag in RAW and not attrs.endswith("/"):
+                stop = re.compile(f"</{re.escape(tag)}", re.I).search(source, at)
+                shut = source.find(">", stop.end()) if stop else -1
+                told = at = n if shut < 0 else shut + 1
                 self._close(tag)
+        if told < n:
+            self._text(source[told:])
 
     def _text(self, raw: str) -> None:
         if self.open[-1].noise:
@@ -133,31 +213,32 @@ class Page:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                at = self._container()
+                at = self.open[-1].home
                 self.blocks.append((at, text))
                 linked = sum(self.link_chars)
-                self.block_links.append(linked)
+                at.chars += len(text)
+                at.links += linked
                 weight = max(0, len(text) - 2 * linked)
                 share = 1.0
                 while at is not None and share > 0.1:
                     at.score += weight * share
                     share /= 2
-                    at = self._above(at)
+                    at = at.above
             self.parts = []
         self.link_chars = []
 
-    def _container(self) -> Element:
-        for element in reversed(self.open):
-            if element.tag in CONTAINERS or element.parent is None:
-                return element
-        return self.open[0]
+    def _last(self, tags) -> int:
+        """Place of the innermost open element with one of these tags, 0 if none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
 
-    @staticmethod
-    def _above(element: Element) -> Element | None:
-        element = element.parent
-        while element is not None and element.tag not in CONTAINERS and element.parent is not None:
-            element = element.parent
-        return element
+    def _push(self, element: Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.open))
+        self.open.append(element)
+
+    def _cut(self, place: int) -> None:
+        for element in self.open[place:]:
+            self.places[element.tag].pop()
+        del self.open[place:]
 
     def _start(self, tag: str, attrs: str) -> None:
         if tag == "br":
@@ -168,12 +249,8 @@ class Page:
             self._close_paragraph()
         if tag in CLOSES:
             ends, stops = CLOSES[tag]
-            for i in range(len(self.open) - 1, 0, -1):
-                if self.open[i].tag in stops:
-                    break
-                if self.open[i].tag in ends:
-                    del self.open[i:]
-                    break
+            if self._last(ends) > self._last(stops):
+                self._cut(self._last(ends))
         if tag in VOID:
             return
         if tag == "a":
@@ -181,19 +258,17 @@ class Page:
         if tag not in BLOCKS and tag not in NOISE_TAGS and not attrs:
             return  # plain inline markup changes nothing
         above = self.open[-1]
-        classes, words, hidden = self._attributes(attrs)
+        classes, words, hidden, named_noise = self._attributes(attrs)
         noise = above.noise or tag in NOISE_TAGS or hidden
-        good = bool(words & GOOD_WORDS) or tag in ("article", "main", "body", "html")
-        noise = noise or (bool(words & NOISE_WORDS) and not good)
+        noise = noise or (named_noise and tag not in ("article", "main", "body", "html"))
         if tag not in BLOCKS and not noise:
             return
-        path = f"{above.path}>{tag}{classes}"
         factor = BONUS.get(tag, 1.0) * (1.3 if words & GOOD_WORDS and tag not in ("body", "html") else 1.0)
         content = tag in ("article", "main") or (tag in CONTAINERS and tag != "body" and bool(words & CONTENT_WORDS))
-        element = Element(tag, path, noise, above, factor, content)
+        element = Element(tag, tag + classes, noise, above, factor, content)
         if tag not in BLOCKS:
             self._end_inline()
-        self.open.append(element)
+        self._push(element)
         if tag in CONTAINERS and not noise:
             self.containers.append(element)
 
@@ -201,45 +276,49 @@ class Page:
         self.parts.append(" ")
 
     def _close_paragraph(self) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i].tag
-            if tag == "p":
-                del self.open[i:]
-                return
-            if tag in CONTAINERS or tag in ("td", "th", "li", "button", "table"):
-                return
+        place = self._last(("p",))
+        if place > self._last(PARAGRAPH_STOPS):
+            self._cut(place)
 
     def _close(self, tag: str) -> None:
         if tag == "a":
             self.linked = max(0, self.linked - 1)
         if tag in BLOCKS:
             self._end_block()
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            # An end tag without a start inside the nearest container is stray.
-            if self.open[i].tag in ("article", "main", "body", "table") and tag not in (
-                "article", "main", "body", "html", "table", "div", "section",
-            ):
-                return
+        place = self._last((tag,))
+        # An end tag without a start inside the nearest container is stray.
+        if place and (tag in CLOSE_THROUGH or place > self._last(CLOSE_STOPS)):
+            self._cut(place)
 
     @staticmethod
-    def _attributes(attrs: str) -> tuple[str, frozenset, bool]:
+    def _attributes(attrs: str) -> tuple[str, frozenset, bool, bool]:
+        """Classes as a part of the path, all words, whether hidden, whether named as noise.
+
+        A name with a good word is noise only if it begins with a noise word (``related-content``,
+        but not ``article-header``), and another name that is all good overrules it.
+        """
         if not attrs.strip(" /\n\t\r"):
-            return "", frozenset(), False
+            return "", frozenset(), False, False
         found = {}
         for m in ATTRIBUTE.finditer(attrs):
             name = (m[1] or m[5]).lower()
             found.setdefault(name, next((x for x in m.groups()[1:4] if x is not None), ""))
-        classes = sorted(set(DIGITS.sub("#", entities.unescape(found.get("class", ""))).split()))
+        classes = sorted(set(DIGITS.sub("#", entities.unescape(found.get("class", ""))).replace(">", "").split()))
         words: set[str] = set()
-        for text in (found.get("class", ""), found.get("id", ""), found.get("role", "")):
-            words.update(w.lower() for w in NAMES.findall(text))
+        noise = good = False
+        for name in " ".join((found.get("class", ""), found.get("id", ""), found.get("role", ""))).split():
+            own = [w.lower() for w in NAMES.findall(name)]
+            words.update(own)
+            if not own or own[0] in LAYOUT_WORDS:
+                continue
+            if NOISE_WORDS.isdisjoint(own):
+                good = good or not GOOD_WORDS.isdisjoint(own)
+            elif own[0] in NOISE_WORDS or GOOD_WORDS.isdisjoint(own):
+                noise = True
         style = found.get("style", "").replace(" ", "").lower()
         hidden = "hidden" in found or "display:none" in style or found.get("aria-hidden", "").lower() == "true"
         hidden = hidden or found.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary", "alert", "dialog", "search")
-        return "".join(f".{c}" for c in classes), frozenset(words), hidden
+        return "".join(f".{c}" for c in classes), frozenset(words), hidden, noise and not good
 
     def best(self) -> Element | None:
         """The container with the highest score; of equals the outermost, then the first."""
@@ -257,44 +336,43 @@ class Page:
         taken if what it adds isn't mostly links.
         """
         top = self.best()
+        whole = {id(e): [e.chars, e.links] for e in self.containers}
+        for e in reversed(self.containers):  # inner ones stand after outer ones
+            if e.above is not None:
+                chars, links = whole[id(e)]
+                whole[id(e.above)][0] += chars
+                whole[id(e.above)][1] += links
         around = top
         while top is not None and top.tag != "article" and around is not None:
-            around = self._above(around)
+            around = around.above
             if around is None or not around.content:
                 continue
-            if around.tag == "article" or self._adds_text(around, top):
+            added, linked = (a - b for a, b in zip(whole[id(around)], whole[id(top)]))
+            if around.tag == "article" or 2 * linked <= added:
                 top = around
         return top
 
-    def _adds_text(self, outer: Element, inner: Element) -> bool:
-        own, whole = (self._inside({id(e)}) for e in (inner, outer))
-        added = [i for i, (a, b) in enumerate(zip(own, whole)) if b and not a]
-        return 2 * sum(self.block_links[i] for i in added) <= sum(len(self.blocks[i][1]) for i in added)
-
     def text(self, path: str | None) -> str:
         """Text of the containers on ``path``, or of the page's own choice if there is none."""
-        chosen = {id(e) for e in self.containers if e.path == path} if path else set()
-        out = self._below(chosen)
+        out = self._below(self._on(path)) if path else []
         if not out:
             top = self.chosen()
             out = self._below({id(top)}) if top is not None else [t for _, t in self.blocks]
         return "\n\n".join(out)
 
-    def _below(self, chosen: set[int]) -> list[str]:
-        return [text for (_, text), found in zip(self.blocks, self._inside(chosen)) if found]
-
-    def _inside(self, chosen: set[int]) -> list[bool]:
-        """Of each block, whether it stands in one of the containers."""
-        inside: dict[int, bool] = {}
+    def _on(self, path: str) -> set[int]:
+        mark = 0
+        for step in path.split(">")[1:]:
+            mark = path_mark(mark, step)
+        return {id(e) for e in self.containers if e.mark == mark}
 
-        def within(element: Element | None) -> bool:
-            if element is None:
-                return False
-            if id(element) not in inside:
-                inside[id(element)] = id(element) in chosen or within(element.parent)
-            return inside[id(element)]
-
-        return [within(element) for element, _ in self.blocks]
+    def _below(self, chosen: set[int]) -> list[str]:
+        """Texts of the blocks that stand in one of the containers."""
+        inside: set[int] = set()
+        for e in self.containers:  # outer ones stand before inner ones
+            if id(e) in chosen or (e.above is not None and id(e.above) in inside):
+                inside.add(id(e))
+        return [text for home, text in self.blocks if id(home) in inside]
 
 
 def host(url_column: str = "url") -> Column:
@@ -334,7 +412,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Null and empty html, and pages without text outside menus and the like, give an empty text. Pages without
     a readable URL vote together. Headings inside the article belong to it. White space is
-    Unicode's. Repeated rows stay rows, an empty table gives none; other columns are ignored.
+    Unicode's. A tag whose quote is never closed ends at the next ``>``; a ``<`` that no ``>`` follows is
+    text. Pages of any length, depth and state take time that grows with their length. Repeated rows stay rows, an empty table gives none; other columns are ignored.
     """
     bounded_batches(pages.sparkSession)
     rows = pages.select("page_id", "url", "html", host().alias("host"))
