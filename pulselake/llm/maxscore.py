@@ -116,16 +116,20 @@ def _search(k: int):
     return run
 
 
-def vectors(table: DataFrame) -> DataFrame:
-    """vec_id and vector, the components as ``floor(1024 * x)``; rows that take no part are left out."""
+def vectors(table: DataFrame, k: int = TOP) -> DataFrame:
+    """vec_id, vector, copy: the components as ``floor(1024 * x)``; rows that take no part are left out.
+
+    Equal rows are numbered by ``copy``. More than ``k`` of them can't be told apart in any result.
+    """
     doubles = F.col("embedding").cast("array<double>")
     whole = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (
         table.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
         .filter(whole)
         .select("vec_id", F.transform(doubles, lambda x: F.floor(x * SCALE).cast("long")).alias("vector"))
-        .groupBy("vec_id")
-        .agg(F.min("vector").alias("vector"))
+        .groupBy("vec_id", "vector")
+        .agg(F.least(F.count("*"), F.lit(k)).alias("copies"))
+        .select("vec_id", "vector", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
     )
 
 
@@ -133,23 +137,24 @@ def top_k(table: DataFrame, k: int = TOP, step: int = QUERY_STEP) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id ``step`` divides, the ``k`` best others.
 
     Vectors that are null or hold a null or non-finite component take no part, nor do rows
-    without an id. Of rows that share an id the one with the smallest vector counts. Vectors of
-    different length are compared as if the shorter ended in zeros. Components and scores beyond
+    without an id. All rows that share an id are candidates, with a rank for each, but never
+    for a query of that id; if several rows share a query's id, the best of all their scores count.
+    Vectors of different length are compared as if the shorter ended in zeros. Components and scores beyond
     a long become the nearest long. Fewer than ``k`` other rows give fewer ranks, an empty table
     none; other columns are ignored.
     """
-    rows = stage(vectors(table.select("vec_id", "embedding")), "vectors")
+    rows = stage(vectors(table.select("vec_id", "embedding"), k), "vectors")
     total = rows.count()
     shards = pieces(total, SHARD_ROWS)
     queries = rows.filter(F.col("vec_id") % step == 0).select(
-        F.col("vec_id").alias("query_id"), F.col("vector").alias("q_vector")
+        F.col("vec_id").alias("query_id"), F.col("vector").alias("q_vector"), "copy"
     )
     blocks = pieces(queries.count(), BLOCK_QUERIES)
     # Every shard meets every block: a grid of small cells, each side dealt to the cells of its line.
-    q_cells = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn(
+    q_cells = queries.withColumn("block", F.pmod(F.xxhash64("query_id", "q_vector", "copy"), F.lit(blocks))).withColumn(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
     )
-    r_cells = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn(
+    r_cells = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector", "copy"), F.lit(shards))).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
     )
     found = (
