@@ -146,7 +146,11 @@ def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> list:
 
 
 def fit(rows: list, idf: np.ndarray) -> Model:
-    """Weights by follow-the-regularised-leader, then the temperature."""
+    """Weights by follow-the-regularised-leader, then the temperature.
+
+    The rows are put in an order of their own first, so their order and partitions don't matter.
+    """
+    rows = sorted(rows, key=lambda r: (r["lang"], r["at"], r["many"]))
     names = sorted({r["lang"] for r in rows})
     known = {name: i for i, name in enumerate(names)}
     data = []
