@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 
 import duckdb
@@ -195,14 +196,28 @@ def test_top_k_edges(spark):
     assert found == [
         (0, 1, 100, scale // 2),
         (0, 2, 1, -2 * scale),
-        (0, 3, 4, -2 * scale),
+        (0, 3, 1, -2 * scale),
+        (0, 4, 4, -2 * scale),
         (100, 1, 1, scale),
-        (100, 2, 4, scale),
-        (100, 3, 0, scale // 2),
+        (100, 2, 1, scale),
+        (100, 3, 4, scale),
+        (100, 4, 0, scale // 2),
     ]
     assert maxscore.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_takes_every_row_of_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (7, [0.1, 0.0]), (7, [5.0, 0.0]), (7, [5.0, 0.0]), (8, [1.0, 0.0]), (0, [9.0, 9.0])]
+    rows += [(9, [2.0, 0.0])] * 40 + [(100, [0.0, 1.0]), (100, [0.0, -1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    scores = {}
+    for q, one in ((i, v) for i, v in rows if i % 100 == 0):
+        whole = [(-sum(int(1024 * a) * int(1024 * b) for a, b in zip(one, other)), i) for i, other in rows if i != q]
+        scores[q] = scores.get(q, []) + whole
+    want = [(q, r + 1, i, -s) for q, found in scores.items() for r, (s, i) in enumerate(sorted(found)[:10])]
+    assert [tuple(r) for r in maxscore.top_k(frame).orderBy("query_id", "rank").collect()] == sorted(want)
+
+
 def test_top_k_of_huge_components(spark):
     rows = [(0, [1e300, 1.0]), (1, [1e300, 0.0]), (2, [-1e300, 0.0]), (3, [0.0, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
@@ -377,6 +392,10 @@ def test_html_takes_the_article_around_its_longest_block(spark):
         "content container": (f"<div class='post-12'><div class='k1'>{lead}</div><div class='k2'>{body}</div></div><div>{more}</div>", [lead, body]),
         "deep": (f"<article><h1>Head</h1><div><div><div><div><div><div>{body}</div></div></div></div></div></div></article>", ["Head", body]),
         "noise": (f"<article><div class='body'>{body}</div><div class='related'>{more}</div></article>", [body]),
+        "box longer than the article": (f"<article><div class='body'>{more}</div><div class='related-content'>{body}</div></article>", [more]),
+        "comments in German": (f"<article><div class='body'>{body}</div><div id='kommentare'>{more}</div></article>", [body]),
+        "opinions": (f"<article><div class='body'>{body}</div><div class='reader-opinions'>{more}</div></article>", [body]),
+        "layout": (f"<div class='main-content with-sidebar'><p>{body}</p></div>", [body]),
         "links": (f"<main><article><h1>Head</h1><div class='body'>{body}</div></article><div>{links}</div></main>", ["Head", body]),
         "links in main": (f"<main><div class='k'>{body}</div><div>{links}</div></main>", [body]),
     }
@@ -386,6 +405,38 @@ def test_html_takes_the_article_around_its_longest_block(spark):
         assert {got[3 * k + i] for i in range(3)} == {"\n\n".join(t.strip() for t in want)}, name
 
 
+def test_html_in_any_state_takes_time_by_its_length(spark):
+    whole = {
+        "deep": ("<article><h1>H</h1>" + "<div>" * 100_000 + "text", "H\n\ntext"),
+        "lists": ("<ul><article>" + "<div>" * 50_000 + "</ul>" * 50_000 + "x", "x"),
+        "open quotes": ('<a "' * 250_000, None),
+        "open tags": ("<a " * 330_000, None),
+        "both quotes": ("<a \"'>" * 150_000, None),
+        "open script": ("<p>x</p><script>" + "</script " * 100_000, "x"),
+        "nested contents": ("<div class=content>x " * 30_000, "\n\n".join(["x"] * 30_000)),
+        "late quote": ("<p>one <a href='x>two</a> three</p>", "one two three"),
+        "no tag": ("<p>1 < 2 and <b", "1 < 2 and <b"),
+        "sign in quotes": ("<p title='a > b'>text</p>", "text"),
+    }
+    rows = [(i, f"http://{i}.example/", source) for i, (source, _) in enumerate(whole.values())]
+    rows += [rows[-1], (None, rows[-1][1], rows[-1][2])]
+    begin = time.monotonic()
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert time.monotonic() - begin < 90 and len(got) == len(rows)
+    texts = {r["page_id"]: r["text"] for r in got}
+    for i, (name, (_, want)) in enumerate(whole.items()):
+        assert want is None or texts[i] == want, name
+
+
+def test_language_of_any_order_of_rows(spark):
+    draw = np.random.default_rng(2)
+    words = {"aa": ["the", "and", "with", "house"], "bb": ["der", "und", "mit", "haus"]}
+    rows = [(i, " ".join(draw.choice(words[lang], 12)), lang) for i, lang in enumerate(["aa", "bb"] * 100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    first, second = (sorted(map(tuple, language.identify(f).collect())) for f in (frame.repartition(7), frame.orderBy(F.desc("text"))))
+    assert first == second
+
+
 def test_pipeline_keeps_one_of_each(spark, tmp_path):
     text = " ".join(f"w{i}" for i in range(400))
     rows = [(i, f"plain words of number {i} " * 4, "en", "s", 1) for i in range(1, 25)]
