@@ -41,6 +41,8 @@ from pulselake.operators.incremental import (
     processing_log,
     skip_processed,
 )
+from pulselake.operators.notices import Route, repeat_suppressed
+from pulselake.operators.offsets import offset_ranges, unseen, whole_ranges
 from pulselake.operators.silver import classify, silver, silver_columns, split_valid
 from pulselake.operators.summary import GRAIN, device_summary
 from pulselake.operators.timeline import hot_days
@@ -70,11 +72,13 @@ from pulselake.sinks.tables import (
     storage_tier,
     write_partitioned,
 )
+from pulselake.sinks.versions import read_newest
 from pulselake.sources.archive import read_archive
 from pulselake.sources.derived import change_topic, published, raw_landing, telemetry
 from pulselake.sources.tables import read_snapshot, scan
 from pulselake.sources.topics import read_cdc, read_envelope, read_telemetry
-from pulselake.streaming import aggregates, jobs
+from pulselake.streaming import aggregates, jobs, replay
+from pulselake.streaming.notices import notice_step
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -750,6 +754,34 @@ def e7(spark, sf):
     )
 
 
+@query(
+    "e7_unseen_offsets",
+    f"""SELECT {POSITION}, device_id FROM telemetry WHERE ingested_at > TIMESTAMP '{LOADED_UNTIL}'""",
+)
+def e7_unseen(spark, sf):
+    """As ``e7_replay_guard``, with ranges of offsets for a log."""
+    records = telemetry(spark, sf)
+    log = offset_ranges(records.where(F.col("ingested_at") <= instant(LOADED_UNTIL)))
+    return unseen(records.unionByName(records), log).select(
+        "kafka_topic", "kafka_partition", "kafka_offset", "device_id"
+    )
+
+
+@query(
+    "e7_offset_ranges",
+    """SELECT 'silver' AS kafka_topic, kafka_partition, MIN(kafka_offset) AS first_offset, MAX(kafka_offset) AS last_offset
+FROM (SELECT kafka_partition, kafka_offset, kafka_offset - ROW_NUMBER() OVER (PARTITION BY kafka_partition ORDER BY kafka_offset) AS island
+  FROM silver) AS placed
+GROUP BY kafka_partition, island""",
+)
+def e7_ranges(spark, sf):
+    """Offsets of the valid readings, loaded in two batches; rejected and older ones leave gaps."""
+    records = silver_of(spark, sf).select(F.lit("silver").alias("kafka_topic"), "kafka_partition", "kafka_offset", "ingested_at")
+    loaded = F.coalesce(F.col("ingested_at") <= instant(LOADED_UNTIL), F.lit(False))
+    log = offset_ranges(records.where(loaded))
+    return whole_ranges(offset_ranges(records.where(~loaded), log))
+
+
 @query(
     "e8_insert_absent",
     "SELECT device_id, region, model, firmware_version FROM registered WHERE device_id NOT IN "
@@ -1415,6 +1447,43 @@ def l5_breaching(spark, sf):
     )
 
 
+def _notices_sql(group: str, member: str) -> str:
+    """Notices from the rules, one after another: each round opens every group's next one."""
+    return f"""SELECT {group}, opened_at, notified_at, reason, array_to_string(known, ',') AS known, alert_count FROM (
+WITH RECURSIVE seconds AS (
+  SELECT {group}, hash({group}) AS g, date_trunc('second', event_timestamp) AS moment, {member} AS member, COUNT(*) AS n
+  FROM anomalies GROUP BY ALL),
+sent AS (
+  SELECT f.g, f.opened_at, f.opened_at + INTERVAL 30 SECOND AS notified_at, 'new' AS reason, LIST(DISTINCT s.member) AS known
+  FROM (SELECT g, MIN(moment) AS opened_at FROM seconds GROUP BY g) AS f
+  JOIN seconds AS s ON s.g = f.g AND s.moment <= f.opened_at + INTERVAL 30 SECOND GROUP BY ALL
+  UNION ALL
+  SELECT o.g, o.opened_at, o.notified_at, o.reason,
+    list_distinct(list_concat(CASE WHEN o.reason = 'new' THEN [] ELSE ANY_VALUE(o.known) END, LIST(DISTINCT s.member))) AS known
+  FROM (SELECT g, opened_at, known, CASE WHEN opened_at >= latest + INTERVAL 4 HOUR THEN 'new' ELSE 'change' END AS reason,
+      CASE WHEN opened_at >= latest + INTERVAL 4 HOUR THEN opened_at + INTERVAL 30 SECOND
+        ELSE GREATEST(opened_at, latest + INTERVAL 5 MINUTE) END AS notified_at
+    FROM (SELECT p.g, p.notified_at AS latest, ANY_VALUE(p.known) AS known, MIN(s.moment) AS opened_at FROM sent AS p JOIN seconds AS s
+      ON s.g = p.g AND s.moment > p.notified_at
+        AND (s.moment >= p.notified_at + INTERVAL 4 HOUR OR NOT list_contains(p.known, s.member))
+      GROUP BY p.g, p.notified_at) AS n) AS o
+  JOIN seconds AS s ON s.g = o.g AND s.moment BETWEEN o.opened_at AND o.notified_at
+  GROUP BY o.g, o.opened_at, o.notified_at, o.reason),
+spans AS (SELECT *, LEAD(opened_at) OVER (PARTITION BY g ORDER BY opened_at) AS until FROM sent)
+SELECT {', '.join(f's.{c.strip()}' for c in group.split(','))}, p.opened_at, p.notified_at, p.reason, list_sort(p.known) AS known, SUM(s.n)::BIGINT AS alert_count
+FROM spans AS p JOIN seconds AS s ON s.g = p.g AND s.moment >= p.opened_at AND (p.until IS NULL OR s.moment < p.until) GROUP BY ALL) AS followed"""
+
+
+def _notice_values(found: DataFrame) -> DataFrame:
+    return found.withColumn("known", F.array_join("known", ","))
+
+
+@query("l6_repeat_notices", _notices_sql("region", "anomaly_type"))
+def l6_repeat(spark, sf):
+    """Groups by region; another type of anomaly is a change."""
+    return _notice_values(repeat_suppressed(anomalies_of(spark, sf), Route(("region",), "anomaly_type")))
+
+
 @query(
     "l6_throttled_notices",
     """SELECT anomaly_type, region, time_bucket(INTERVAL '4' HOUR, event_timestamp) AS interval_start,
@@ -1609,10 +1678,6 @@ def _run_append(spark, stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(target)
 
 
-# Files of a stream may be read in any order, so the watermark leaves room for all of them.
-WHOLE_SPAN = "60 days"
-
-
 def _run_updates(spark, stream: DataFrame, keys: list[str], time: str, label: str) -> DataFrame:
     """Running aggregates upserted by key: the last update of each window remains."""
     target = scratch_path(spark, label)
@@ -1761,8 +1826,12 @@ def o9(spark, sf):
     path = scratch_path(spark, "topic")
     records.unionByName(records).write.parquet(path)
     stream = read_envelope(spark, path, streaming=True, max_files=100)
-    once = aggregates.once_per_offset(stream, WHOLE_SPAN).select("topic", "partition", "offset")
-    return _run_append(spark, once, "once")
+    names = {"topic": "kafka_topic", "partition": "kafka_partition", "offset": "kafka_offset"}
+    target, log = scratch_path(spark, "once"), scratch_path(spark, "offset-log")
+    renamed = stream.withColumnsRenamed(names)
+    drained(replay.start_once(renamed, target, log, scratch_path(spark, "checkpoint")))
+    once = replay.read_once(spark, target, log, renamed.schema)
+    return once.select(*(F.col(new).alias(old) for old, new in names.items()))
 
 
 @query(
@@ -1821,5 +1890,18 @@ def l6_stream(spark, sf):
     anomalies_of(spark, sf).repartitionByRange(stream_files(spark), "event_timestamp").write.parquet(path)
     stream = spark.readStream.schema(ANOMALIES).option("maxFilesPerTrigger", half(spark)).parquet(path)
     group = ["anomaly_type", "region"]
-    notices = aggregates.throttled_notices(stream, group, lateness=WHOLE_SPAN)
+    notices = aggregates.throttled_notices(stream, group)
     return _run_updates(spark, notices, [*group, "interval_start"], "interval_start", "notices")
+
+
+@query("l6_repeat_stream", _notices_sql("anomaly_type, region", "severity"))
+def l6_repeat_stream(spark, sf):
+    """Alerts in files of no order, a part of them delivered again."""
+    path, found = scratch_path(spark, "anomalies"), anomalies_of(spark, sf)
+    files = found.unionByName(found.where("anomaly_type = 'TEMP_SPIKE'")).repartition(stream_files(spark))
+    files.write.parquet(path)
+    stream = spark.readStream.schema(ANOMALIES).option("maxFilesPerTrigger", half(spark)).parquet(path)
+    route, kept = Route(("anomaly_type", "region"), "severity"), scratch_path(spark, "notices")
+    step = notice_step(scratch_path(spark, "kept-alerts"), kept, route, ["anomaly_id"])
+    drained(jobs.start_batches(stream, step, scratch_path(spark, "checkpoint")))
+    return _notice_values(read_newest(spark, kept, route.schema(found)))

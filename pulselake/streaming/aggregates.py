@@ -69,13 +69,14 @@ def device_day(
     return finish_summary(aggregated)
 
 
-def throttled_notices(
-    alerts: DataFrame, group_cols: list[str], interval: str = "4 hours", lateness: str = "10 minutes"
-) -> DataFrame:
-    """At most one notice per group and interval (stream form of ``throttle``)."""
+def throttled_notices(alerts: DataFrame, group_cols: list[str], interval: str = "4 hours") -> DataFrame:
+    """At most one notice per group and interval (stream form of ``throttle``).
+
+    Without a watermark, so no alert is too late. The state is one row per group and interval,
+    whatever the number of alerts.
+    """
     return (
-        with_event_time(alerts, lateness)
-        .groupBy(F.window("event_time", interval).alias("w"), *group_cols)
+        alerts.groupBy(F.window(F.col("event_timestamp").cast("timestamp"), interval).alias("w"), *group_cols)
         .agg(F.min("event_timestamp").alias("notified_at"), F.count("*").alias("alert_count"))
         .select(
             *group_cols,
@@ -84,10 +85,3 @@ def throttled_notices(
             "alert_count",
         )
     )
-
-
-def once_per_offset(records: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Each topic, partition and offset once, for records re-delivered within ``lateness``."""
-    return records.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(
-        ["topic", "partition", "offset"]
-    )
