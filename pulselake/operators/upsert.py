@@ -63,6 +63,24 @@ def recover(spark: SparkSession, path: str, partition_col: str, sort_by: list[st
     release(spark, redo.removesuffix("/rows"))
 
 
+def replace_partitions(
+    rows: DataFrame, path: str, partition_col: str, sort_by: list[str] | None, dates: DataFrame
+) -> None:
+    """Put ``rows`` in place of the partitions named by ``dates``; a crash is finished by ``recover``.
+
+    ``rows`` may be read from these very partitions. A partition that gets no rows goes; the
+    driver learns the names of such partitions only.
+    """
+    spark = rows.sparkSession
+    recover(spark, path, partition_col, sort_by)
+    rows.write.mode("overwrite").parquet(_redo(path))
+    left = spark.read.schema(rows.schema).parquet(_redo(path)).select(partition_col).distinct()
+    emptied = [r[0] for r in dates.select(partition_col).distinct().join(left, partition_col, "left_anti").collect()]
+    recover(spark, path, partition_col, sort_by)
+    for value in emptied:
+        release(spark, f"{path.rstrip('/')}/{partition_col}={value}")
+
+
 def upsert(
     batch: DataFrame,
     path: str,

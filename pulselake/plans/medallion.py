@@ -20,8 +20,9 @@ from pulselake.operators.incremental import high_watermark
 from pulselake.operators.silver import classify, quarantine_columns, silver_columns
 from pulselake.operators.summary import device_summary
 from pulselake.operators.upsert import upsert
+from pulselake.plans.refresh import DEVICE_DAY, refresh_gold
 from pulselake.schemas import ANOMALIES, QUARANTINE, RAW, SILVER, SUMMARY
-from pulselake.session import release, scratch_path
+from pulselake.session import path_exists, release, scratch_path
 from pulselake.sinks.tables import rebuild
 from pulselake.sources.tables import read_table
 
@@ -158,6 +159,25 @@ def rebuild_gold(
     rebuild(found, lake.anomalies, "event_date", ["anomaly_type"])
 
 
+def refresh_step(
+    lake: Lake, cfg: Config = Config(), as_of: datetime | str | None = None
+) -> Callable[[DataFrame], None]:
+    """Step after ``load_silver``: Gold follows the device-days of the batch's valid readings.
+
+    Where there is no Gold yet it is built whole.
+    """
+
+    def step(valid: DataFrame) -> None:
+        spark = valid.sparkSession
+        if not (path_exists(spark, lake.summary) and path_exists(spark, lake.anomalies)):
+            rebuild_gold(spark, lake, cfg, as_of)
+            return
+        touched = valid.select(*DEVICE_DAY)
+        refresh_gold(lake.read_silver(spark), lake.summary, lake.anomalies, touched, cfg, as_of)
+
+    return step
+
+
 def last_load(spark: SparkSession, lake: Lake) -> datetime | None:
     """Newest ingest time that a finished load covered.
 
@@ -174,16 +194,21 @@ def run(
     as_of: datetime | str | None = None,
     incremental: bool = True,
 ) -> None:
-    """One scheduled run: new raw rows to Silver and quarantine, then Gold."""
+    """One scheduled run: new raw rows to Silver and quarantine, then Gold.
+
+    An incremental run changes Gold where the new rows reach, before the load is logged: a run
+    that failed is repeated whole. Otherwise Gold is rebuilt from all of Silver.
+    """
     spark = raw.sparkSession
     since = last_load(spark, lake) if incremental else None
     if since is not None:
         raw = raw.where(F.col("ingested_at") > instant(since))
     covered = high_watermark(raw, "ingested_at")
-    load_silver(bronze(raw), lake, cfg, as_of)
+    load_silver(bronze(raw), lake, cfg, as_of, [refresh_step(lake, cfg, as_of)] if incremental else None)
     if covered is not None:
         spark.createDataFrame([(covered,)], LOADS).coalesce(1).write.mode("append").parquet(lake.loads)
-    rebuild_gold(spark, lake, cfg, as_of)
+    if not incremental:
+        rebuild_gold(spark, lake, cfg, as_of)
 
 
 def silver_violations(
