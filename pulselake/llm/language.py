@@ -29,6 +29,8 @@ PASSES = 3
 CALIBRATION = 0.2
 # Learning rate, offset, penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.0005
+#: Buckets and counts of a sampled text as bytes. Big-endian, so that bytes sort as the numbers do.
+PLACES, TIMES = np.dtype(">u2"), np.dtype(">u4")
 MIXERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -123,16 +125,18 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             count = counts(text)  # BUCKETS numbers, of one text at a time
             at = np.zeros(0, np.int64) if count is None else np.flatnonzero(count)
-            places.append(at.astype(np.int32))
-            many.append(count[at].astype(np.int32) if len(at) else at.astype(np.int32))
-        kind = pa.list_(pa.int32())
+            places.append(at.astype(PLACES).tobytes())
+            many.append(count[at].astype(TIMES).tobytes() if len(at) else b"")
         yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"), pa.array(places, kind), pa.array(many, kind)], ["lang", "at", "many"]
+            [batch.column("lang"), pa.array(places, pa.binary()), pa.array(many, pa.binary())], ["lang", "at", "many"]
         )
 
 
 def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> list:
-    """At most about ``rows`` labelled texts as n-gram counts, as many of each language."""
+    """At most about ``rows`` labelled texts as n-gram counts, as many of each language.
+
+    They come to the driver as bytes, 6 for each n-gram of a text.
+    """
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per language
     if not sizes:
         return []
@@ -142,7 +146,7 @@ def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> list:
     )
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     picked = labelled.join(F.broadcast(shares), F.col("lang") == F.col("s_lang")).filter(draw < F.col("share"))
-    return picked.select("lang", "text").mapInArrow(_sparse, "lang string, at array<int>, many array<int>").collect()
+    return picked.select("lang", "text").mapInArrow(_sparse, "lang string, at binary, many binary").collect()
 
 
 def fit(rows: list, idf: np.ndarray) -> Model:
@@ -153,14 +157,16 @@ def fit(rows: list, idf: np.ndarray) -> Model:
     rows = sorted(rows, key=lambda r: (r["lang"], r["at"], r["many"]))
     names = sorted({r["lang"] for r in rows})
     known = {name: i for i, name in enumerate(names)}
-    data = []
-    for r in rows:
-        if r["at"]:
-            at = np.array(r["at"])
-            value = np.array(r["many"]) * idf[at]
-            data.append((at, value / np.sqrt(value @ value), known[r["lang"]]))
-    order = np.random.default_rng(7).permutation(len(data))
-    held = order[: int(len(data) * CALIBRATION)]
+    rows = [r for r in rows if r["at"]]
+
+    def example(i: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Buckets, TF-IDF and language of a row, made when needed: all of them would take many times the bytes."""
+        at = np.frombuffer(rows[i]["at"], PLACES).astype(np.int64)
+        value = np.frombuffer(rows[i]["many"], TIMES) * idf[at]
+        return at, value / np.sqrt(value @ value), known[rows[i]["lang"]]
+
+    order = np.random.default_rng(7).permutation(len(rows))
+    held = order[: int(len(rows) * CALIBRATION)]
     used = order[len(held) :]
     k = len(names)
     z, n = np.zeros((k, BUCKETS + 1)), np.zeros((k, BUCKETS + 1))
@@ -171,7 +177,7 @@ def fit(rows: list, idf: np.ndarray) -> Model:
 
     for _ in range(PASSES):
         for i in used:
-            at, value, y = data[i]
+            at, value, y = example(i)
             at, value = np.append(at, BUCKETS), np.append(value, 1.0)  # the last place is the bias
             w = weights(at)
             p = softmax(w @ value)
@@ -183,8 +189,12 @@ def fit(rows: list, idf: np.ndarray) -> Model:
     full = weights(np.arange(BUCKETS + 1))
     model = Model(names, full[:, :BUCKETS].astype(np.float32), full[:, BUCKETS], idf, 1.0)
     if len(held):
-        scores = np.array([model.weights[:, data[i][0]] @ data[i][1] + model.bias for i in held])
-        truth = np.array([data[i][2] for i in held])
+        scores, truth = [], []
+        for i in held:
+            at, value, y = example(i)
+            scores.append(model.weights[:, at] @ value + model.bias)
+            truth.append(y)
+        scores, truth = np.array(scores), np.array(truth)
         model.temperature = temperature(scores, truth)
     return model
 

@@ -5,6 +5,7 @@ import itertools
 import math
 import re
 import time
+import tracemalloc
 import zlib
 
 import duckdb
@@ -437,6 +438,27 @@ def test_language_of_any_order_of_rows(spark):
     assert first == second
 
 
+def test_language_sample_takes_few_bytes_of_the_driver(spark):
+    draw = np.random.default_rng(5)
+    texts = ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz "), 4000)) for _ in range(200)]
+    texts.append("a" * 70_000)  # a count of more than two bytes
+    frame = spark.createDataFrame([(i, t, "ab"[i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    want = [language.counts(t) for t in texts]
+    grams = sum(np.count_nonzero(c) for c in want)
+    idf = language.inverse_frequencies(frame)
+    tracemalloc.start()
+    drawn = language.sample(frame)
+    taken = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    language.fit(drawn, idf)
+    more = tracemalloc.get_traced_memory()[1] - taken
+    tracemalloc.stop()
+    assert taken < 16 * grams and more < 16 * grams
+    got = [(np.frombuffer(r["at"], language.PLACES).tolist(), np.frombuffer(r["many"], language.TIMES).tolist()) for r in drawn]
+    assert sorted(got) == sorted((np.flatnonzero(c).tolist(), c[c > 0].tolist()) for c in want)
+    assert [got[i] for i in sorted(range(len(got)), key=lambda i: (drawn[i]["at"], drawn[i]["many"]))] == sorted(got)
+
+
 def test_pipeline_keeps_one_of_each(spark, tmp_path):
     text = " ".join(f"w{i}" for i in range(400))
     rows = [(i, f"plain words of number {i} " * 4, "en", "s", 1) for i in range(1, 25)]
